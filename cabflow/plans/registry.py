@@ -208,3 +208,213 @@ def unmatched_union(spark, sf):
 )
 def q1_hourly_weekend(spark, sf):
     return stable(questions.q1_hourly_weekend(flow.fixture_question_base(spark, sf, weather=False)))
+
+
+# ---- report -------------------------------------------------------------------------------
+
+def _feed_report_sql(tagged: str, source: str) -> str:
+    return (
+        f"SELECT '{source}' AS source, 'total_records' AS metric, CAST(sum(_rows) AS BIGINT) AS value, CAST(NULL AS DOUBLE) AS pct FROM {tagged} "
+        f"UNION ALL SELECT '{source}', 'rejected_records', CAST(count(*) FILTER (WHERE rejection_reason <> 'VALID') AS BIGINT), "
+        f"round(coalesce(count(*) FILTER (WHERE rejection_reason <> 'VALID') * CAST(100 AS DOUBLE) / nullif(sum(_rows), 0), 0) * 1e6) / 1e6 FROM {tagged}"
+    )
+
+
+_JOIN_COUNTS = (
+    "SELECT (SELECT count(*) FROM trips_good) AS vt, (SELECT count(*) FROM fares_good) AS vf, "
+    "count(*) FILTER (WHERE dropoff_datetime IS NOT NULL AND total_amount IS NOT NULL) AS mr, "
+    "count(*) FILTER (WHERE dropoff_datetime IS NOT NULL AND total_amount IS NULL) AS tw, "
+    "count(*) FILTER (WHERE dropoff_datetime IS NULL AND total_amount IS NOT NULL) AS fw, "
+    "count(*) FILTER (WHERE dropoff_datetime IS NULL AND total_amount IS NULL) AS ir FROM joined"
+)
+
+
+@register(
+    "etl_report",
+    q(_feed_report_sql("trips_tagged", "trips") + " UNION ALL " + _feed_report_sql("fares_tagged", "fares")
+      + " UNION ALL SELECT 'match', m, CAST(v AS BIGINT), p FROM (SELECT unnest(["
+      "{'m': 'valid_trips_for_join', 'v': vt, 'p': NULL::DOUBLE}, {'m': 'valid_fares_for_join', 'v': vf, 'p': NULL::DOUBLE}, "
+      "{'m': 'matched_records', 'v': mr, 'p': NULL::DOUBLE}, "
+      "{'m': 'trips_without_fare', 'v': tw, 'p': round(coalesce(tw * CAST(100 AS DOUBLE) / nullif(vt, 0), 0) * 1e6) / 1e6}, "
+      "{'m': 'fares_without_trip', 'v': fw, 'p': round(coalesce(fw * CAST(100 AS DOUBLE) / nullif(vf, 0), 0) * 1e6) / 1e6}, "
+      "{'m': 'incomplete_records', 'v': ir, 'p': NULL::DOUBLE}], recursive := true) FROM (" + _JOIN_COUNTS + "))"),
+)
+def etl_report(spark, sf):
+    from cabflow.operators.report import etl_report as build
+
+    c = flow.fixture_clean(spark, sf)
+    return stable(build(
+        quality.reject_stats(c.tagged_trips, "trips"),
+        quality.reject_stats(c.tagged_fares, "fares"),
+        matching.match_stats(c.good_trips, c.good_fares),
+    ))
+
+
+# ---- features ------------------------------------------------------------------------------
+
+def _matched_with(spark, sf, fn) -> DataFrame:
+    return fn(flow.fixture_matched(spark, sf))
+
+
+@register("feat_time", q("SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_hour, pickup_dow FROM abase"))
+def feat_time(spark, sf):
+    return _matched_with(spark, sf, enrich.add_time_features).select(*KEY, "pickup_hour", "pickup_dow")
+
+
+@register(
+    "feat_derived",
+    q("SELECT medallion, hack_license, vendor_id, pickup_datetime, trip_duration_min, avg_speed_kmh, cost_per_km, cost_per_min FROM abase"),
+)
+def feat_derived(spark, sf):
+    return _matched_with(spark, sf, enrich.add_derived_metrics).select(
+        *KEY, "trip_duration_min", "avg_speed_kmh", "cost_per_km", "cost_per_min")
+
+
+@register(
+    "feat_time_flags",
+    q("SELECT medallion, hack_license, vendor_id, pickup_datetime, is_weekend, day_part, is_evening_peak FROM qbase0"),
+)
+def feat_time_flags(spark, sf):
+    return _matched_with(spark, sf, lambda d: enrich.add_time_flags(enrich.add_time_features(d))).select(
+        *KEY, "is_weekend", "day_part", "is_evening_peak")
+
+
+@register("feat_borough", q("SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_borough FROM qbase1"))
+def feat_borough(spark, sf):
+    return _matched_with(spark, sf, enrich.add_borough).select(*KEY, "pickup_borough")
+
+
+@register("feat_utc_hour", q("SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_hour_utc FROM qbase1"))
+def feat_utc_hour(spark, sf):
+    return _matched_with(spark, sf, lambda d: d.withColumn("pickup_hour_utc", fx.pickup_hour_utc())).select(
+        *KEY, "pickup_hour_utc")
+
+
+@register("feat_ymd", q("SELECT medallion, hack_license, vendor_id, pickup_datetime, year, month, day FROM abase"))
+def feat_ymd(spark, sf):
+    return _matched_with(spark, sf, enrich.add_ymd).select(*KEY, "year", "month", "day")
+
+
+@register(
+    "enrich_holidays",
+    q("SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_date, is_holiday FROM qbase1"),
+)
+def enrich_holidays(spark, sf):
+    return _matched_with(spark, sf, enrich.add_holidays).select(*KEY, "pickup_date", "is_holiday")
+
+
+_W = ["temperature_C", "dewpoint_C", "wind_speed_ms", "precip_mm_per_hr"]
+
+
+@register(
+    "enrich_weather",
+    q(f"SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_hour_utc, {', '.join(_W)}, "
+      "precip_bin, wind_bin, weather_condition_5 FROM qbase"),
+)
+def enrich_weather(spark, sf):
+    m = flow.fixture_matched(spark, sf)
+    return enrich.add_weather(m, flow.fixture_weather(spark, sf)).select(
+        *KEY, "pickup_hour_utc", *_W, "precip_bin", "wind_bin", "weather_condition_5")
+
+
+def _bin_counts(col: str) -> str:
+    return q(f"SELECT {col}, count(*) AS trips FROM qbase GROUP BY {col}")
+
+
+def _bin_query(col: str):
+    def run(spark, sf):
+        base = flow.fixture_question_base(spark, sf, weather=True)
+        return base.groupBy(col).agg(F.count(F.lit(1)).alias("trips"))
+
+    return run
+
+
+register("feat_precip_bin", _bin_counts("precip_bin"))(_bin_query("precip_bin"))
+register("feat_wind_bin", _bin_counts("wind_bin"))(_bin_query("wind_bin"))
+register("feat_weather_condition", _bin_counts("weather_condition_5"))(_bin_query("weather_condition_5"))
+
+
+# ---- questions Q2-Q6 --------------------------------------------------------------------------
+
+def _rank_pick(x: str, p: float) -> str:
+    """The value at rank max(1, ceil(p * n)) among the non-NULL values (1-based)."""
+    return (f"list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL))"
+            f"[CAST(greatest(1, ceil({p} * count({x}))) AS BIGINT)]")
+
+
+@register(
+    "q2_tips",
+    q("SELECT payment_type, passenger_count, day_part, " + r("avg(tip_amount)", "avg_tip") + ", "
+      + r(_rank_pick("tip_amount", 0.5), "p50_tip") + ", count(*) AS trips FROM qbase GROUP BY ALL"),
+)
+def q2_tips(spark, sf):
+    return stable(questions.q2_tips(flow.fixture_question_base(spark, sf, weather=False)))
+
+
+@register(
+    "q3_evening_peak",
+    q("SELECT pickup_borough, " + r("avg(total_amount)", "avg_total_amount") + ", count(*) AS trips FROM qbase "
+      "WHERE is_evening_peak = 1 AND trip_distance BETWEEN 1 AND 50 AND avg_speed_kmh BETWEEN 5 AND 80 GROUP BY pickup_borough"),
+)
+def q3_evening_peak(spark, sf):
+    return stable(questions.q3_evening_peak(flow.fixture_question_base(spark, sf, weather=False)))
+
+
+_MOM_SQL = (
+    "mom AS (SELECT vendor_id, year, month, a AS avg_cost_per_km, lag(a) OVER (PARTITION BY vendor_id ORDER BY year, month) AS lag_avg, "
+    "a - lag(a) OVER (PARTITION BY vendor_id ORDER BY year, month) AS mom_change "
+    "FROM (SELECT vendor_id, year, month, avg(cost_per_km) AS a FROM qbase GROUP BY ALL))"
+)
+
+
+@register(
+    "q4_vendor_mom",
+    q(", ".join([]) + "SELECT vendor_id, year, month, " + r("avg_cost_per_km", "avg_cost_per_km") + ", "
+      + r("lag_avg", "lag_avg") + ", " + r("mom_change", "mom_change") + " FROM (WITH " + _MOM_SQL + " SELECT * FROM mom)"),
+)
+def q4_vendor_mom(spark, sf):
+    return stable(questions.q4_vendor_mom(flow.fixture_question_base(spark, sf, weather=False)))
+
+
+@register(
+    "q4_growth_streak",
+    q("SELECT vendor_id, max(streak_len) AS longest_growth_streak_months, max(streak_len) - 1 AS growth_steps FROM ("
+      "SELECT vendor_id, is_up, count(*) OVER (PARTITION BY vendor_id, grp) AS streak_len FROM ("
+      "SELECT vendor_id, is_up, sum(CASE WHEN is_up = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY vendor_id ORDER BY year, month "
+      "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM ("
+      "SELECT vendor_id, year, month, CASE WHEN mom_change > 0 THEN 1 ELSE 0 END AS is_up FROM (WITH " + _MOM_SQL
+      + " SELECT * FROM mom)))) WHERE is_up = 1 GROUP BY vendor_id"),
+)
+def q4_growth_streak(spark, sf):
+    base = flow.fixture_question_base(spark, sf, weather=False)
+    return questions.q4_growth_streak(questions.q4_vendor_mom(base)).select(
+        "vendor_id", F.col("longest_growth_streak_months").cast("bigint").alias("longest_growth_streak_months"),
+        F.col("growth_steps").cast("bigint").alias("growth_steps"))
+
+
+_WM = ", ".join([
+    r("avg(avg_speed_kmh)", "avg_speed_kmh"), r("avg(cost_per_min)", "avg_cost_per_min"), "count(*) AS trips",
+    r("avg(temperature_C)", "avg_temperature_C"), r("avg(dewpoint_C)", "avg_dewpoint_C"),
+    r("avg(wind_speed_ms)", "avg_wind_speed_ms"), r("avg(precip_mm_per_hr)", "avg_precip_mm_per_hr"),
+])
+
+
+@register("q5_condition_hour",
+          q(f"SELECT weather_condition_5, pickup_hour, {_WM} FROM qbase GROUP BY ALL ORDER BY weather_condition_5, pickup_hour"))
+def q5_condition_hour(spark, sf):
+    return stable(questions.q5_condition_hour(flow.fixture_question_base(spark, sf, weather=True)))
+
+
+@register("q5_precip_wind_hour",
+          q(f"SELECT precip_bin, wind_bin, pickup_hour, {_WM} FROM qbase GROUP BY ALL ORDER BY precip_bin, wind_bin, pickup_hour"))
+def q5_precip_wind_hour(spark, sf):
+    return stable(questions.q5_precip_wind_hour(flow.fixture_question_base(spark, sf, weather=True)))
+
+
+@register(
+    "q6_high_value_share",
+    q("SELECT pickup_borough, is_holiday, count(*) AS trips, CAST(count(*) FILTER (WHERE total_amount > 50) AS BIGINT) AS high_value_trips, "
+      + r("CAST(count(*) FILTER (WHERE total_amount > 50) AS DOUBLE) / count(*)", "share") + " FROM qbase GROUP BY ALL"),
+)
+def q6_high_value_share(spark, sf):
+    return stable(questions.q6_high_value_share(flow.fixture_question_base(spark, sf, weather=False)))
