@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.operators.quantiles import attach, grouped_exact_quantiles
+
 # Segment name -> grouping columns, in report order.
 SEGMENTS: dict[str, list[str]] = {
     "kpi_by_hour": ["pickup_hour"],
@@ -36,19 +38,41 @@ def kpi_measures(accuracy: int = PERCENTILE_ACCURACY) -> list[Column]:
     ]
 
 
-def segmented_kpis(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> dict[str, DataFrame]:
-    """One lazy group-by per segmentation whose columns exist in ``df``."""
+PERCENTILES = [("p50_total_amount", 0.5), ("p95_total_amount", 0.95)]
+MEASURE_ORDER = ["avg_total_amount", "p50_total_amount", "p95_total_amount", "avg_cost_per_km",
+                 "avg_cost_per_min", "avg_speed_kmh", "trips", "revenue"]
+
+
+def _exact_percentiles(agg: DataFrame, df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Replace the sketch percentiles of ``agg`` by exact ones (distributed rank pick)."""
+    q = grouped_exact_quantiles(df, group_cols, "total_amount", [p for _, p in PERCENTILES],
+                                [n for n, _ in PERCENTILES])
+    base = agg.drop(*[n for n, _ in PERCENTILES])
+    out = attach(base, q, group_cols, [n for n, _ in PERCENTILES])
+    lead = [c for c in agg.columns if c not in MEASURE_ORDER]
+    return out.select(*lead, *MEASURE_ORDER)
+
+
+def segmented_kpis(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bool = False) -> dict[str, DataFrame]:
+    """One lazy group-by per segmentation whose columns exist in ``df``.
+
+    ``exact=False`` (default): percentiles from the bounded sketch, as the reference.
+    ``exact=True``: percentiles are the exact rank-``ceil(p*n)`` values (one extra
+    range-partitioned pass over ``total_amount``; see ``operators.quantiles``)."""
     out = {}
     for name, cols in SEGMENTS.items():
         if all(c in df.columns for c in cols):
-            out[name] = df.groupBy(*cols).agg(*kpi_measures(accuracy))
+            agg = df.groupBy(*cols).agg(*kpi_measures(accuracy))
+            out[name] = _exact_percentiles(agg, df, cols) if exact else agg
     return out
 
 
-def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bool = False) -> DataFrame:
     """All segmentations in one aggregate. Columns: ``segment`` (name), ``grouping_id``,
     every grouping column (NULL where not grouped) and the measures. ``grouping_id`` keeps
-    a real NULL segment value apart from a rolled-up column."""
+    a real NULL segment value apart from a rolled-up column. With ``exact`` the
+    percentiles of all segments come from ONE distributed rank pass over the
+    ``(segment, value)`` rows."""
     segs = {n: cols for n, cols in SEGMENTS.items() if all(c in df.columns for c in cols)}
     group_cols: list[str] = []
     for cols in segs.values():
@@ -71,11 +95,28 @@ def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> Dat
         f"WHEN {gid} = {_gid_of(cols, group_cols)} THEN '{n}'" for n, cols in segs.items()
     ) + " END"
     g = ", ".join(group_cols)
-    return df.sparkSession.sql(
+    agg = df.sparkSession.sql(
         f"SELECT {seg_case} AS segment, CAST({gid} AS INT) AS grouping_id, {g},\n  {measures}\n"
         f"FROM {{src}} GROUP BY GROUPING SETS ({sets})",
         src=df,
     )
+    if not exact:
+        return agg
+    # One row per (segment, input row): the segment's grouping values, others NULL.
+    rows = df.select(
+        F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row"),
+        F.col("total_amount"),
+        F.explode(F.array(*[
+            F.struct(F.lit(n).alias("segment"), *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
+                                                  for c in group_cols])
+            for n, cols in segs.items()
+        ])).alias("_s"),
+    ).select("_s.*", "total_amount", "_row")
+    keys = ["segment", *group_cols]
+    q = grouped_exact_quantiles(rows, keys, "total_amount", [p for _, p in PERCENTILES],
+                                [n for n, _ in PERCENTILES], tiebreak_cols=["_row"])
+    out = attach(agg.drop(*[n for n, _ in PERCENTILES]), q, keys, [n for n, _ in PERCENTILES])
+    return out.select("segment", "grouping_id", *group_cols, *MEASURE_ORDER)
 
 
 def _gid_of(cols: list[str], group_cols: list[str]) -> int:

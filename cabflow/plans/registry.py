@@ -418,3 +418,351 @@ def q5_precip_wind_hour(spark, sf):
 )
 def q6_high_value_share(spark, sf):
     return stable(questions.q6_high_value_share(flow.fixture_question_base(spark, sf, weather=False)))
+
+
+# ---- KPIs ------------------------------------------------------------------------------------
+
+from cabflow.operators import kpis, profile  # noqa: E402
+
+_KPI_SQL_MEASURES = ", ".join([
+    r("avg(total_amount)", "avg_total_amount"),
+    r(_rank_pick("total_amount", 0.5), "p50_total_amount"),
+    r(_rank_pick("total_amount", 0.95), "p95_total_amount"),
+    r("avg(cost_per_km)", "avg_cost_per_km"),
+    r("avg(cost_per_min)", "avg_cost_per_min"),
+    r("avg(avg_speed_kmh)", "avg_speed_kmh"),
+    "count(*) AS trips",
+    r("sum(total_amount)", "revenue", 4),
+])
+# Segment name -> grouping columns (oracle side, independent of kpis.SEGMENTS).
+_KPI_SEGMENTS_SQL = [
+    ("kpi_by_hour", ["pickup_hour"]),
+    ("kpi_by_dow", ["pickup_dow"]),
+    ("kpi_by_year_month", ["year", "month"]),
+    ("kpi_by_payment", ["payment_type"]),
+    ("kpi_by_vendor", ["vendor_id"]),
+    ("kpi_by_passengers", ["passenger_count"]),
+]
+_KPI_ALL_COLS = ["pickup_hour", "pickup_dow", "year", "month", "payment_type", "vendor_id", "passenger_count"]
+
+
+def _kpi_query(segment: str):
+    def run(spark, sf):
+        return stable(kpis.segmented_kpis(flow.fixture_analytics_base(spark, sf), exact=True)[segment])
+
+    return run
+
+
+for _name, _cols in _KPI_SEGMENTS_SQL:
+    register(_name, q(f"SELECT {', '.join(_cols)}, {_KPI_SQL_MEASURES} FROM abase GROUP BY {', '.join(_cols)}"))(
+        _kpi_query(_name))
+
+
+def _gid(cols: list[str]) -> int:
+    n = len(_KPI_ALL_COLS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_KPI_ALL_COLS) if c not in cols)
+
+
+_KPI_GS_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS segment, CAST({_gid(cols)} AS INT) AS grouping_id, "
+    + ", ".join(c if c in cols else f"NULL AS {c}" for c in _KPI_ALL_COLS)
+    + f", {_KPI_SQL_MEASURES} FROM abase GROUP BY {', '.join(cols)}"
+    for n, cols in _KPI_SEGMENTS_SQL
+)
+
+
+@register("kpi_grouping_sets", q(_KPI_GS_SQL))
+def kpi_grouping_sets(spark, sf):
+    return stable(kpis.kpi_grouping_sets(flow.fixture_analytics_base(spark, sf), exact=True))
+
+
+@register("kpi_grouping_sets_approx")
+def kpi_grouping_sets_approx(spark, sf):
+    return stable(kpis.kpi_grouping_sets(flow.fixture_analytics_base(spark, sf)))
+
+
+# ---- profile ---------------------------------------------------------------------------------
+
+# Oracle-side schema of the analytics base (name, Spark type name).
+_ABASE_TYPES = [
+    ("medallion", "string"), ("hack_license", "string"), ("vendor_id", "string"), ("pickup_datetime", "timestamp"),
+    ("rate_code", "string"), ("store_and_fwd_flag", "string"), ("dropoff_datetime", "timestamp"),
+    ("passenger_count", "int"), ("trip_time_in_secs", "int"), ("trip_distance", "double"),
+    ("pickup_longitude", "double"), ("pickup_latitude", "double"), ("dropoff_longitude", "double"),
+    ("dropoff_latitude", "double"), ("payment_type", "string"), ("fare_amount", "double"), ("surcharge", "double"),
+    ("mta_tax", "double"), ("tip_amount", "double"), ("tolls_amount", "double"), ("total_amount", "double"),
+    ("year", "int"), ("month", "int"), ("day", "int"), ("trip_duration_min", "double"), ("avg_speed_kmh", "double"),
+    ("cost_per_km", "double"), ("cost_per_min", "double"), ("pickup_hour", "int"), ("pickup_dow", "int"),
+]
+_SCHEMA_JSON = "[" + ",".join('{"name":"%s","type":"%s"}' % nt for nt in _ABASE_TYPES) + "]"
+
+
+@register(
+    "profile_overview",
+    q(f"SELECT CAST(count(*) AS BIGINT) AS row_count, {len(_ABASE_TYPES)} AS num_columns, '{_SCHEMA_JSON}' AS schema_json, "
+      "min(pickup_datetime) AS min_pickup_datetime, max(pickup_datetime) AS max_pickup_datetime FROM abase"),
+)
+def profile_overview(spark, sf):
+    return profile.overview(flow.fixture_analytics_base(spark, sf))
+
+
+# Oracle-side list of profiled columns.
+_PROFILE_COLS_SQL = [
+    "trip_time_in_secs", "trip_distance", "passenger_count", "fare_amount", "surcharge", "mta_tax", "tip_amount",
+    "tolls_amount", "total_amount", "trip_duration_min", "avg_speed_kmh", "cost_per_km", "cost_per_min",
+]
+
+
+def _numeric_sql(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+            f"{r(f'min({x})', 'min')}, {r(f'max({x})', 'max')}, {r(f'avg({x})', 'mean')}, {r(f'stddev_samp({x})', 'stddev')}, "
+            f"{r(f'sum({x})', 'sum', 4)} FROM abase")
+
+
+@register("profile_numeric", q(" UNION ALL ".join(_numeric_sql(c) for c in _PROFILE_COLS_SQL)))
+def profile_numeric(spark, sf):
+    return stable(profile.numeric_stats(flow.fixture_analytics_base(spark, sf), quantiles=False).drop(
+        "p01", "p05", "p50", "p95", "p99"))
+
+
+_QP = [("p01", 0.01), ("p05", 0.05), ("p50", 0.5), ("p95", 0.95), ("p99", 0.99)]
+
+
+def _quantile_sql(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return f"SELECT '{c}' AS \"column\", " + ", ".join(r(_rank_pick(x, p), n) for n, p in _QP) + " FROM abase"
+
+
+@register("profile_quantiles_exact", q(" UNION ALL ".join(_quantile_sql(c) for c in _PROFILE_COLS_SQL)))
+def profile_quantiles_exact(spark, sf):
+    return stable(profile.exact_quantiles(flow.fixture_analytics_base(spark, sf)))
+
+
+@register("profile_quantiles_approx")
+def profile_quantiles_approx(spark, sf):
+    return profile.numeric_stats(flow.fixture_analytics_base(spark, sf)).select("column", "p01", "p05", "p50", "p95", "p99")
+
+
+def _fmt_sql(expr: str, kind: str) -> str:
+    if kind == "int":
+        return f"coalesce(CAST(CAST({expr} AS BIGINT) AS VARCHAR), '')"
+    d = 2 if kind == "money" else 4
+    return f"coalesce(printf('%.{d}f', round(({expr}) * 1e{d}) / 1e{d}), '')"
+
+
+def _kind(name: str) -> str:
+    if name in ("trips", "count", "null_count", "row_count"):
+        return "int"
+    if any(k in name for k in ("amount", "cost", "revenue")) or name == "sum":
+        return "money"
+    return "dec"
+
+
+def _summary_sql() -> str:
+    parts = [
+        "SELECT 'OVERVIEW' AS section, '' AS segment, 'row_count' AS metric, CAST(count(*) AS VARCHAR) AS value FROM abase",
+        "SELECT 'OVERVIEW', '', 'min_pickup_datetime', coalesce(CAST(min(pickup_datetime) AS VARCHAR), '') FROM abase",
+        "SELECT 'OVERVIEW', '', 'max_pickup_datetime', coalesce(CAST(max(pickup_datetime) AS VARCHAR), '') FROM abase",
+    ]
+    stat_exprs = [("count", "count({c})"), ("null_count", "count(*) - count({c})"), ("min", "min({x})"),
+                  ("max", "max({x})"), ("mean", "avg({x})"), ("stddev", "stddev_samp({x})"), ("sum", "sum({x})")]
+    for c in _PROFILE_COLS_SQL:
+        x = f"CAST({c} AS DOUBLE)"
+        for m, e in stat_exprs:
+            parts.append(f"SELECT 'NUMERIC_STATISTICS', '{c}', '{m}', {_fmt_sql(e.format(c=c, x=x), _kind(m))} FROM abase")
+        for n, p in _QP:
+            parts.append(f"SELECT 'NUMERIC_STATISTICS', '{c}', '{n}', {_fmt_sql(_rank_pick(x, p), 'dec')} FROM abase")
+    measures = [("avg_total_amount", "avg(total_amount)"), ("p50_total_amount", _rank_pick("total_amount", 0.5)),
+                ("p95_total_amount", _rank_pick("total_amount", 0.95)), ("avg_cost_per_km", "avg(cost_per_km)"),
+                ("avg_cost_per_min", "avg(cost_per_min)"), ("avg_speed_kmh", "avg(avg_speed_kmh)"),
+                ("trips", "count(*)"), ("revenue", "sum(total_amount)")]
+    for name, cols in _KPI_SEGMENTS_SQL:
+        label = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+        for m, e in measures:
+            parts.append(f"SELECT '{name.upper()}', {label}, '{m}', {_fmt_sql(e, _kind(m))} FROM abase GROUP BY {', '.join(cols)}")
+    return " UNION ALL ".join(parts)
+
+
+@register("kpi_summary_long", q(_summary_sql()))
+def kpi_summary_long(spark, sf):
+    base = flow.fixture_analytics_base(spark, sf)
+    stats = profile.numeric_stats(base, quantiles=False).drop("p01", "p05", "p50", "p95", "p99")
+    numeric = stats.join(profile.exact_quantiles(base), "column")
+    return kpis.kpi_summary_long(profile.overview(base), numeric, kpis.kpi_grouping_sets(base, exact=True))
+
+
+# ---- sources -----------------------------------------------------------------------------------
+
+from cabflow.session import scratch_dir  # noqa: E402
+from cabflow.sinks import writers  # noqa: E402
+from cabflow.sources import dims, feeds, fixtures  # noqa: E402
+
+
+def _via_csv(spark, df: DataFrame, name: str) -> str:
+    path = scratch_dir(spark, name)
+    writers.write_csv(df, path)
+    return path
+
+
+@register("src_trips", q("SELECT * FROM trips_raw"))
+def src_trips(spark, sf):
+    return feeds.load_trips(spark, _via_csv(spark, fixtures.trips_raw(spark, sf), "trips-csv"))
+
+
+@register("src_fares", q("SELECT * FROM fares_raw"))
+def src_fares(spark, sf):
+    return feeds.load_fares(spark, _via_csv(spark, fixtures.fares_raw(spark, sf), "fares-csv"))
+
+
+@register("src_weather_hourly", q("SELECT * FROM weather_raw"))
+def src_weather_hourly(spark, sf):
+    csv_path = _via_csv(spark, fixtures.weather_csv_frame(spark, sf), "weather-csv")
+    return feeds.load_or_prepare_weather(spark, scratch_dir(spark, "processed"), csv_path=csv_path)
+
+
+@register(
+    "src_processed_roundtrip",
+    q("SELECT medallion, hack_license, vendor_id, pickup_datetime, rate_code, store_and_fwd_flag, dropoff_datetime, "
+      "passenger_count, trip_time_in_secs, trip_distance, pickup_longitude, pickup_latitude, dropoff_longitude, "
+      "dropoff_latitude, payment_type, fare_amount, surcharge, mta_tax, tip_amount, tolls_amount, total_amount, "
+      "year, month, day FROM abase"),
+)
+def src_processed_roundtrip(spark, sf):
+    root = scratch_dir(spark, "processed")
+    writers.write_processed(flow.fixture_matched(spark, sf), f"{root}/{feeds.PROCESSED_TABLE}")
+    return feeds.load_processed(spark, root)
+
+
+@register(
+    "dim_holidays",
+    q("SELECT date, is_holiday, holiday_name FROM holidays WHERE year(date) BETWEEN "
+      "(SELECT min(year(pickup_datetime)) FROM trips_raw) AND (SELECT max(year(pickup_datetime)) FROM trips_raw)"),
+)
+def dim_holidays(spark, sf):
+    return dims.holidays_covering(fixtures.trips_raw(spark, sf))
+
+
+@register("preview_trips")
+def preview_trips(spark, sf):
+    return feeds.preview(fixtures.trips_raw(spark, sf))
+
+
+# ---- ML -----------------------------------------------------------------------------------------
+
+from cabflow.operators import ml  # noqa: E402
+
+_HAV_SQL = ("2 * CAST(6371.0 AS DOUBLE) * asin(sqrt(least(1, pow(sin((radians(dropoff_latitude) - radians(pickup_latitude)) / 2), 2) "
+            "+ cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude)) * "
+            "pow(sin((radians(dropoff_longitude) - radians(pickup_longitude)) / 2), 2))))")
+_PLAUSIBLE_SQL = ("total_amount BETWEEN 2.5 AND 500 AND pickup_longitude BETWEEN -75 AND -72 AND pickup_latitude BETWEEN 40 AND 42 "
+                  "AND dropoff_longitude BETWEEN -75 AND -72 AND dropoff_latitude BETWEEN 40 AND 42 AND passenger_count > 0")
+_MLF = (f"(SELECT *, {_HAV_SQL} AS hav FROM matched WHERE {_PLAUSIBLE_SQL})")
+_MLFEAT = (f"(SELECT *, CAST(hour(pickup_datetime) AS INT) AS pickup_hour, CAST(dayofweek(pickup_datetime) + 1 AS INT) AS day_of_week, "
+           "CASE WHEN dayofweek(pickup_datetime) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, "
+           "hav * CAST(0.621371 AS DOUBLE) / (trip_time_in_secs / CAST(3600 AS DOUBLE)) AS speed, "
+           "CASE WHEN hav * CAST(0.621371 AS DOUBLE) / (trip_time_in_secs / CAST(3600 AS DOUBLE)) < 12 THEN 1.0 ELSE 0.0 END AS label, "
+           "('0x' || substr(md5(concat_ws('|', medallion, hack_license, vendor_id, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'))), 1, 8))::BIGINT % 10 AS bucket "
+           f"FROM {_MLF} WHERE trip_time_in_secs > 60 AND hav > 0.5)")
+
+
+def _ml_data(spark, sf) -> DataFrame:
+    return ml.prepare_features(flow.fixture_matched(spark, sf))
+
+
+@register("feat_haversine", q(f"SELECT medallion, hack_license, vendor_id, pickup_datetime, {r(_HAV_SQL, 'haversine_distance')} FROM matched"))
+def feat_haversine(spark, sf):
+    return stable(ml.with_haversine(flow.fixture_matched(spark, sf)).select(*KEY, "haversine_distance"))
+
+
+@register("ml_filter", q(f"SELECT medallion, hack_license, vendor_id, pickup_datetime FROM matched WHERE {_PLAUSIBLE_SQL}"))
+def ml_filter(spark, sf):
+    return ml.plausible(flow.fixture_matched(spark, sf)).select(*KEY)
+
+
+@register(
+    "ml_features",
+    q("SELECT medallion, hack_license, vendor_id, pickup_datetime, pickup_hour, day_of_week, is_weekend, "
+      f"{r('hav', 'haversine_distance')}, {r('speed', 'trip_speed_mph')}, CAST(label AS DOUBLE) AS is_high_traffic FROM {_MLFEAT}"),
+)
+def ml_features(spark, sf):
+    return stable(_ml_data(spark, sf).select(
+        *KEY, "pickup_hour", "day_of_week", "is_weekend", "haversine_distance", "trip_speed_mph", "is_high_traffic"))
+
+
+@register("ml_traffic_label", q(f"SELECT CAST(label AS DOUBLE) AS is_high_traffic, count(*) AS trips FROM {_MLFEAT} GROUP BY 1"))
+def ml_traffic_label(spark, sf):
+    return _ml_data(spark, sf).groupBy("is_high_traffic").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register("ml_split", q(f"SELECT CASE WHEN bucket < 8 THEN 'train' ELSE 'test' END AS part, count(*) AS trips FROM {_MLFEAT} GROUP BY 1"))
+def ml_split(spark, sf):
+    train, test = ml.split(_ml_data(spark, sf))
+    return (train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+            .groupBy("part").agg(F.count(F.lit(1)).alias("trips")))
+
+
+@register("ml_row_cap")
+def ml_row_cap(spark, sf):
+    return ml.cap_rows(_ml_data(spark, sf)).select(*KEY, "is_high_traffic")
+
+
+# Fixed formula predictions so the metric aggregates have an exact SQL twin.
+_FIXED_REG = "2.5 + 2.0 * haversine_distance"
+_FIXED_CLS = "CASE WHEN haversine_distance < 2.0 THEN 1.0 ELSE 0.0 END"
+
+
+@register(
+    "ml_metrics_regression",
+    q("SELECT " + r("sqrt(avg((p - y) * (p - y)))", "RMSE") + ", " + r("avg(abs(p - y))", "MAE") + ", "
+      + r("1 - sum((p - y) * (p - y)) / (sum(y * y) - sum(y) * sum(y) / count(*))", "R2")
+      + f" FROM (SELECT total_amount AS y, 2.5 + 2.0 * hav AS p FROM {_MLFEAT} WHERE bucket >= 8)"),
+)
+def ml_metrics_regression(spark, sf):
+    _, test = ml.split(_ml_data(spark, sf))
+    return stable(ml.regression_metrics(test.withColumn("prediction", F.expr(_FIXED_REG))))
+
+
+@register(
+    "ml_metrics_classification",
+    q("SELECT " + ", ".join([
+        r("sum(tp) / sum(nt)", "Accuracy"),
+        r("sum(nt * CASE WHEN np > 0 THEN tp / np ELSE 0 END) / sum(nt)", "Precision"),
+        r("sum(nt * CASE WHEN nt > 0 THEN tp / nt ELSE 0 END) / sum(nt)", "Recall"),
+        r("sum(nt * CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END) / sum(nt)", "F1")])
+      + " FROM (SELECT *, CASE WHEN np > 0 THEN tp / np ELSE 0 END AS pr, CASE WHEN nt > 0 THEN tp / nt ELSE 0 END AS rc FROM ("
+      "SELECT l.y, CAST(l.nt AS DOUBLE) AS nt, CAST(l.tp AS DOUBLE) AS tp, CAST(coalesce(pp.np, 0) AS DOUBLE) AS np FROM "
+      "(SELECT y, count(*) AS nt, count(*) FILTER (WHERE y = p) AS tp FROM c GROUP BY y) l "
+      "LEFT JOIN (SELECT p, count(*) AS np FROM c GROUP BY p) pp ON l.y = pp.p))".replace(
+          " FROM c ", f" FROM (SELECT label AS y, CASE WHEN hav < 2.0 THEN 1.0 ELSE 0.0 END AS p FROM {_MLFEAT} WHERE bucket >= 8) ")),
+)
+def ml_metrics_classification(spark, sf):
+    _, test = ml.split(_ml_data(spark, sf))
+    return stable(ml.classification_metrics(test.withColumn("prediction", F.expr(_FIXED_CLS))))
+
+
+def _model_query(task: str, model: str):
+    def run(spark, sf):
+        data = ml.stage_training_table(_ml_data(spark, sf))
+        try:
+            return ml.train_evaluate(data, task, models=[model])
+        finally:
+            data.unpersist()
+
+    return run
+
+
+for _task, _model, _qname in [
+    ("regression", "LinearRegression", "ml_reg_linear"),
+    ("regression", "RandomForestRegressor", "ml_reg_forest"),
+    ("regression", "GBTRegressor", "ml_reg_gbt"),
+    ("classification", "LogisticRegression", "ml_cls_logistic"),
+    ("classification", "RandomForestClassifier", "ml_cls_forest"),
+    ("classification", "GBTClassifier", "ml_cls_gbt"),
+]:
+    register(_qname)(_model_query(_task, _model))
+
+
+@register("ml_metrics_all")
+def ml_metrics_all(spark, sf):
+    return ml.run_ml(flow.fixture_matched(spark, sf))
