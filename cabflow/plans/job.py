@@ -128,10 +128,11 @@ def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles:
     base = analytics_base(add_ymd(base_input))
     outs = {}
     ov_path = f"{analytics_root}/overview.json"
-    writers.write_json_doc(profile.overview(base), ov_path)
+    overview, stats = profile.overview_and_stats(base)  # one scan for both
+    writers.write_json_doc(overview, ov_path)
     outs["overview"] = ov_path
     stats_path = f"{analytics_root}/numeric_stats"
-    writers.write_csv(profile.numeric_stats(base), stats_path, single_file=True)
+    writers.write_csv(stats, stats_path, single_file=True)
     grouped_path = f"{analytics_root}/kpi_grouping_sets"
     writers.write_parquet(kpis.kpi_grouping_sets(base, exact=exact_percentiles).coalesce(1), grouped_path)
     grouped = spark.read.parquet(grouped_path)

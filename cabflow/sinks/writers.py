@@ -26,7 +26,10 @@ def write_processed(df: DataFrame, path: str, num_partitions: int | None = None)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = add_ymd(df)
     sort_cols = [*PARTITION_COLS, "pickup_datetime"]
-    out = out.repartitionByRange(num_partitions, *sort_cols) if num_partitions else out.repartitionByRange(*sort_cols)
+    # An explicit count keeps AQE from collapsing the writers into one task; at scale the
+    # shuffle width is sized to the data, so files stay near the target size.
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartitionByRange(n, *sort_cols)
     out.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
 
 
