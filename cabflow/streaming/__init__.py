@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is bounded batch only: the source reads monthly CSV files and Parquet, and
+has no stream source, watermark or stateful operator. Nothing here is needed to run
+every query of the batch job; see README "Not built, or re-aimed".
+"""
