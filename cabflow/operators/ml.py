@@ -84,9 +84,24 @@ def split(df: DataFrame, method: str = "hash", seed: int = 42) -> tuple[DataFram
     return df.filter(b < TRAIN_BUCKETS), df.filter(b >= TRAIN_BUCKETS)
 
 
+CAP_RESOLUTION = 1_000_000
+
+
 def cap_rows(df: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
-    """The reference's row cap before training (arbitrary rows beyond the cap)."""
-    return df if max_rows is None else df.limit(max_rows)
+    """The reference's row cap before training (which rows is arbitrary there).
+
+    A ``limit`` below the top of a plan gathers its rows into ONE partition, so the cap
+    is taken as a key-hash fraction instead: one count, then rows whose key hash falls
+    below ``max_rows / count`` are kept - distributed, deterministic under recompute,
+    about ``max_rows`` rows. Below the cap nothing is dropped and no filter is added."""
+    if max_rows is None:
+        return df
+    n = df.count()
+    if n <= max_rows:
+        return df
+    keep = int(CAP_RESOLUTION * max_rows / n)
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.lit(CAP_RESOLUTION))
+    return df.filter(h < keep)
 
 
 # ---- models -------------------------------------------------------------------------------

@@ -134,7 +134,7 @@ def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles:
     stats_path = f"{analytics_root}/numeric_stats"
     writers.write_csv(stats, stats_path, single_file=True)
     grouped_path = f"{analytics_root}/kpi_grouping_sets"
-    writers.write_parquet(kpis.kpi_grouping_sets(base, exact=exact_percentiles).coalesce(1), grouped_path)
+    writers.write_parquet(writers.one_partition(kpis.kpi_grouping_sets(base, exact=exact_percentiles)), grouped_path)
     grouped = spark.read.parquet(grouped_path)
     for seg in kpis.SEGMENTS:
         writers.write_csv(kpis.kpi_segment(grouped, seg), f"{analytics_root}/{seg}", single_file=True)
@@ -153,7 +153,7 @@ def run_questions(base_input: DataFrame, questions_root: str, weather: DataFrame
     outs = {}
     for name, df in questions.business_questions(base).items():
         path = f"{questions_root}/{name}.csv"
-        writers.write_csv(df, path, single_file=True)
+        writers.write_csv(df, path, single_file=True, sort_by=questions.SORT_KEYS.get(name))
         outs[name] = path
     return outs
 

@@ -33,14 +33,27 @@ def write_processed(df: DataFrame, path: str, num_partitions: int | None = None)
     out.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header, overwrite. ``single_file`` only for small, aggregated results."""
-    (df.coalesce(1) if single_file else df).write.option("header", True).mode("overwrite").csv(path)
+def one_partition(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
+    """Move a SMALL result into one partition for a single output file.
+
+    ``repartition(1)`` rather than ``coalesce(1)``: coalesce would pull the stage that
+    produces the rows (e.g. the final aggregate over every map task's partial sketch)
+    into one task; repartition keeps that stage parallel and moves only the result.
+    ``sort_by`` restores an order the shuffle does not keep."""
+    out = df.repartition(1)
+    return out.sortWithinPartitions(*sort_by) if sort_by else out
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, sort_by: list[str] | None = None) -> None:
+    """CSV with header, overwrite, written by many tasks; ``single_file`` only for
+    small, aggregated results (see ``one_partition``)."""
+    out = one_partition(df, sort_by) if single_file else df
+    out.write.option("header", True).mode("overwrite").csv(path)
 
 
 def write_json_doc(df: DataFrame, path: str) -> None:
     """A one-row DataFrame as one JSON text line (non-ASCII kept)."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    one_partition(df.select(F.to_json(F.struct(*df.columns)).alias("value"))).write.mode("overwrite").text(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -88,3 +88,32 @@ def test_same_result_at_1_and_8_partitions(spark):
         assert out[0] == out[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def test_cap_rows_is_distributed_and_whole_below_cap(spark):
+    df = spark.range(10000).selectExpr("CAST(id AS STRING) AS medallion", "'H' AS hack_license", "'CMT' AS vendor_id",
+                                       "TIMESTAMP '2013-01-01 00:00:00' AS pickup_datetime")
+    assert ml.cap_rows(df, 20000).count() == 10000
+    capped = ml.cap_rows(df, 2000)
+    assert 1700 < capped.count() < 2300
+    assert "SinglePartition" not in capped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_mode_picks_one_file(tmp_out):
+    d = f"{tmp_out}/tripData2013"
+    os.makedirs(d)
+    for n in ("trip_data_2.csv", "trip_data_10.csv", "other.csv"):
+        open(f"{d}/{n}", "w").close()
+    assert feeds._one_file(d, "trip_data_", "trip_data_1.csv").endswith("trip_data_10.csv")
+    open(f"{d}/trip_data_1.csv", "w").close()
+    assert feeds._one_file(d, "trip_data_", "trip_data_1.csv").endswith("trip_data_1.csv")
+
+
+def test_questions_written_in_order(spark, tmp_out):
+    from cabflow.plans import job
+
+    m = flow.fixture_matched(spark, SF001)
+    outs = job.run_questions(m, tmp_out, weather=None)
+    q1 = spark.read.option("header", True).option("inferSchema", True).csv(outs["q1_hourly_weekday_weekend"])
+    keys = [(r["pickup_hour"], r["is_weekend"]) for r in q1.collect()]
+    assert keys == sorted(keys) and len(keys) == 48
