@@ -66,13 +66,16 @@ class RunResult:
     outputs: dict[str, str] = field(default_factory=dict)
 
 
-def stage_bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
+def stage_bucketed(df: DataFrame, name: str, buckets: int, registry: list[str] | None = None) -> DataFrame:
     """Write ``df`` once below the checkpoint folder, bucketed and sorted on the key,
-    register it under a unique name and return the table."""
+    register it (external table) under a unique name and return the table. The name is
+    appended to ``registry`` so the caller can drop the catalog entry afterwards."""
     spark = df.sparkSession
     table = f"cabflow_{name}_{uuid.uuid4().hex[:10]}"
     (df.write.bucketBy(buckets, *KEY).sortBy(*KEY)
      .option("path", scratch_dir(spark, name)).mode("overwrite").saveAsTable(table))
+    if registry is not None:
+        registry.append(table)
     return spark.table(table)
 
 
@@ -92,8 +95,9 @@ def run_etl(
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet.
-    tt = stage_bucketed(quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips_tagged", buckets)
-    tf = stage_bucketed(quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares_tagged", buckets)
+    staged: list[str] = []
+    tt = stage_bucketed(quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips_tagged", buckets, staged)
+    tf = stage_bucketed(quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares_tagged", buckets, staged)
     good_t, bad_t = quality.split(tt)
     good_f, bad_f = quality.split(tf)
 
@@ -118,6 +122,9 @@ def run_etl(
 
     if analytics:
         res.outputs.update(run_from_processed(spark, output_root, weather, holidays, train_ml, ml_params).outputs)
+    # The staged data stays below the checkpoint folder; only this run's catalog entries go.
+    for name in staged:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return res
 
 
