@@ -45,8 +45,6 @@ def naive_run(spark, inp: str, out: str) -> dict[str, float]:
     recomputes from CSV), separate count/collect actions, ``coalesce(1)`` on the big
     sinks, six separate KPI group-bys, a separate quantile job, and one write job per
     question over the un-materialised matched lineage. Same operators, same results."""
-    from pyspark.sql import functions as F
-
     from cabflow.operators import kpis, matching, profile, quality
     from cabflow.operators.enrich import add_ymd, analytics_base
     from cabflow.schemas import KEY
@@ -93,7 +91,6 @@ def naive_run(spark, inp: str, out: str) -> dict[str, float]:
         df.coalesce(1).write.option("header", True).mode("overwrite").csv(f"{out}/n_{name}")
         times[name.split("_")[0] + ("b" if "streak" in name or "precip" in name else "")] = round(
             time.perf_counter() - t0, 3)
-    _ = F
     return times
 
 

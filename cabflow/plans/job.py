@@ -139,7 +139,8 @@ def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles:
     writers.write_json_doc(overview, ov_path)
     outs["overview"] = ov_path
     stats_path = f"{analytics_root}/numeric_stats"
-    writers.write_csv(stats, stats_path, single_file=True)
+    writers.write_parquet(writers.one_partition(stats), stats_path)
+    writers.write_csv(spark.read.parquet(stats_path), f"{analytics_root}/numeric_stats_csv", single_file=True)
     grouped_path = f"{analytics_root}/kpi_grouping_sets"
     writers.write_parquet(writers.one_partition(kpis.kpi_grouping_sets(base, exact=exact_percentiles)), grouped_path)
     grouped = spark.read.parquet(grouped_path)
@@ -147,7 +148,7 @@ def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles:
         writers.write_csv(kpis.kpi_segment(grouped, seg), f"{analytics_root}/{seg}", single_file=True)
         outs[seg] = f"{analytics_root}/{seg}"
     ov = spark.read.json(ov_path)
-    numeric = spark.read.option("header", True).option("inferSchema", True).csv(stats_path)
+    numeric = spark.read.parquet(stats_path)
     summary = kpis.kpi_summary_long(ov, numeric, grouped)
     writers.write_csv(summary, f"{analytics_root}/analytics_summary", single_file=True)
     outs["summary"] = f"{analytics_root}/analytics_summary"

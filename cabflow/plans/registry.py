@@ -369,7 +369,7 @@ _MOM_SQL = (
 
 @register(
     "q4_vendor_mom",
-    q(", ".join([]) + "SELECT vendor_id, year, month, " + r("avg_cost_per_km", "avg_cost_per_km") + ", "
+    q("SELECT vendor_id, year, month, " + r("avg_cost_per_km", "avg_cost_per_km") + ", "
       + r("lag_avg", "lag_avg") + ", " + r("mom_change", "mom_change") + " FROM (WITH " + _MOM_SQL + " SELECT * FROM mom)"),
 )
 def q4_vendor_mom(spark, sf):
