@@ -17,11 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions.rules import (
+    FARE_RULES,
     TRIP_DEFAULTS,
+    TRIP_RULES,
     VALID,
     fare_rejection_reason,
     trip_rejection_reason,
@@ -112,3 +114,27 @@ def reject_stats(tagged_with_multiplicity: DataFrame, source: str) -> DataFrame:
         F.col("rows").cast("bigint").alias("value"),
     )
     return total_rows.unionByName(reason_rows)
+
+
+def observe_stats(tagged_with_multiplicity: DataFrame, name: str, rules=None) -> tuple[DataFrame, Observation]:
+    """Attach the reject stats to ``tagged`` as named metrics, so they are collected by
+    whatever action writes it (no extra pass). The reasons are the fixed rule list, so
+    each one is a ``count_if``; read the result with ``stats_from_observation``."""
+    rules = rules if rules is not None else (TRIP_RULES if "trip" in name else FARE_RULES)
+    obs = Observation(name)
+    reason = F.col(REASON)
+    metrics = [
+        F.coalesce(F.sum(MULTIPLICITY), F.lit(0)).cast("bigint").alias("total_records"),
+        F.count_if(reason != VALID).cast("bigint").alias("rejected_records"),
+        *[F.count_if(reason == r).cast("bigint").alias(r) for r, _ in rules],
+    ]
+    return tagged_with_multiplicity.observe(obs, *metrics), obs
+
+
+def stats_from_observation(spark: SparkSession, obs: Observation, source: str) -> DataFrame:
+    """The observed metrics as the same long table ``reject_stats`` returns (reasons with
+    zero rows are left out, as a group-by would)."""
+    m = obs.get
+    rows = [(source, "total_records", int(m["total_records"])), (source, "rejected_records", int(m["rejected_records"]))]
+    rows += [(source, k, int(v)) for k, v in m.items() if k not in ("total_records", "rejected_records") and v]
+    return spark.createDataFrame(rows, "source string, metric string, value bigint")

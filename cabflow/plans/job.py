@@ -95,17 +95,22 @@ def run_etl(
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet.
+    # The reject stats are observed during these writes (no second pass for them).
     staged: list[str] = []
-    tt = stage_bucketed(quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips_tagged", buckets, staged)
-    tf = stage_bucketed(quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares_tagged", buckets, staged)
+    obs_t_df, obs_t = quality.observe_stats(
+        quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips")
+    obs_f_df, obs_f = quality.observe_stats(
+        quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares")
+    tt = stage_bucketed(obs_t_df, "trips_tagged", buckets, staged)
+    tf = stage_bucketed(obs_f_df, "fares_tagged", buckets, staged)
     good_t, bad_t = quality.split(tt)
     good_f, bad_f = quality.split(tf)
 
     # 2. quarantine (parallel CSV writers) and feed stats (one aggregate each).
     writers.write_csv(bad_t, f"{p.quarantine}/invalid_trips.csv")
     writers.write_csv(bad_f, f"{p.quarantine}/invalid_fares.csv")
-    trip_stats = quality.reject_stats(tt, "trips")
-    fare_stats = quality.reject_stats(tf, "fares")
+    trip_stats = quality.stats_from_observation(spark, obs_t, "trips")
+    fare_stats = quality.stats_from_observation(spark, obs_f, "fares")
 
     # 3. match: bucketed SMJ without exchange; matched -> processed layout.
     out = matching.match(good_t, good_f)

@@ -101,3 +101,13 @@ def test_malformed_csv_cell_becomes_null(spark, tmp_out):
     r = load_trips(spark, path).first()
     assert r["passenger_count"] is None and r["trip_time_in_secs"] == 382
     assert r["pickup_datetime"] == datetime(2013, 1, 1, 15, 11, 48)
+
+
+def test_observed_stats_equal_aggregate_stats(spark, tmp_out):
+    rows = [trip(hack="H1"), trip(hack="H1"), trip(hack="H2", pax=0), trip(hack="H3", secs=10), trip(hack="H4", pax=9)]
+    tagged = quality.validated_trips(trips_df(spark, rows), multiplicity=quality.MULTIPLICITY)
+    observed, obs = quality.observe_stats(tagged, "trips")
+    observed.write.mode("overwrite").parquet(f"{tmp_out}/t")
+    a = sorted(quality.stats_from_observation(spark, obs, "trips").collect())
+    b = sorted(quality.reject_stats(tagged, "trips").collect())
+    assert a == b
