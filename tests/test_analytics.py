@@ -75,3 +75,16 @@ def test_profile_exact_vs_approx(spark, abase):
     for c, r in ex.items():
         assert st[c]["min"] <= r["p01"] <= r["p50"] <= r["p99"] <= st[c]["max"]
         assert st[c]["count"] + st[c]["null_count"] == abase.count()
+
+
+def test_overview_document_json(spark, abase, tmp_path):
+    import json
+
+    from cabflow.sinks import writers
+
+    writers.write_json_doc(profile.overview_document(abase), str(tmp_path / "ov"))
+    text = [ln for p in (tmp_path / "ov").glob("part-*") for ln in p.read_text().splitlines() if ln]
+    doc = json.loads(text[0])
+    assert doc["row_count"] == abase.count() and doc["num_columns"] == len(abase.columns)
+    assert doc["schema"][0] == {"name": "medallion", "type": "string"}
+    assert doc["min_pickup_datetime"] <= doc["max_pickup_datetime"]
