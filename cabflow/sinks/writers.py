@@ -23,14 +23,14 @@ def write_processed(df: DataFrame, path: str, num_partitions: int | None = None)
     """Matched trips -> Parquet partitioned by pickup ``year, month, day`` (overwrite with
     dynamic partition mode: only the days present in ``df`` are replaced)."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = add_ymd(df)
     sort_cols = [*PARTITION_COLS, "pickup_datetime"]
     # An explicit count keeps AQE from collapsing the writers into one task; at scale the
     # shuffle width is sized to the data, so files stay near the target size.
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = out.repartitionByRange(n, *sort_cols)
-    out.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
+    # Per-write option: only this write uses dynamic overwrite, the session is left alone.
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path)
 
 
 def one_partition(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:

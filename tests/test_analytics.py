@@ -88,3 +88,22 @@ def test_overview_document_json(spark, abase, tmp_path):
     assert doc["row_count"] == abase.count() and doc["num_columns"] == len(abase.columns)
     assert doc["schema"][0] == {"name": "medallion", "type": "string"}
     assert doc["min_pickup_datetime"] <= doc["max_pickup_datetime"]
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    """A group with a third of the rows - and one value repeated in it - must not land in
+    one task: the (group, value, row hash) range partitioning splits it."""
+    from pyspark.sql import functions as F
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") % 997).cast("double")).alias("v"),
+        F.col("id"),
+    )
+    parts = (df.select("g", "v", F.xxhash64("g", "v", "id").alias("tb"))
+             .repartitionByRange(12, "g", "v", "tb")
+             .filter(F.col("g") == "hot").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+    out = grouped_exact_quantiles(df, ["g"], "v", [0.5], ["p50"], num_partitions=12).filter("g = 'hot'").first()
+    assert out["p50"] == 7.0

@@ -111,3 +111,28 @@ def test_observed_stats_equal_aggregate_stats(spark, tmp_out):
     a = sorted(quality.stats_from_observation(spark, obs, "trips").collect())
     b = sorted(quality.reject_stats(tagged, "trips").collect())
     assert a == b
+
+
+def test_hot_key_dedup_collapses_map_side(spark):
+    from pyspark.sql import functions as F
+
+    from cabflow.schemas import TRIP_SCHEMA
+
+    n = 9000
+    big = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("H"), F.col("id").cast("string"))).alias("hack_license"),
+        (F.col("id") % 5).cast("int").alias("pax"),
+    )
+    df = big.select(
+        F.lit("M1").alias("medallion"), "hack_license", F.lit("CMT").alias("vendor_id"), F.lit(None).cast("string").alias("rate_code"),
+        F.lit(None).cast("string").alias("store_and_fwd_flag"), F.lit(T0).alias("pickup_datetime"),
+        F.lit(datetime(2013, 1, 7, 10, 10)).alias("dropoff_datetime"), F.col("pax").alias("passenger_count"),
+        F.lit(600).alias("trip_time_in_secs"), F.lit(2.0).alias("trip_distance"), F.lit(-73.98).alias("pickup_longitude"),
+        F.lit(40.75).alias("pickup_latitude"), F.lit(-73.97).alias("dropoff_longitude"), F.lit(40.76).alias("dropoff_latitude"),
+    )
+    assert [f.name for f in df.schema.fields] == [f.name for f in TRIP_SCHEMA.fields]
+    d = quality.dedup(df.repartition(6), multiplicity="_rows")
+    assert "partial_min" in d._jdf.queryExecution().executedPlan().toString()
+    hot = d.filter("hack_license = 'HOT'").collect()
+    assert len(hot) == 1 and hot[0]["_rows"] == n // 3 and hot[0]["passenger_count"] == 0
+    assert d.count() == 1 + (n - n // 3)
