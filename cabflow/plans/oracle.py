@@ -33,6 +33,7 @@ def _dedup(src: str, vals: list[str]) -> str:
     )
 
 
+# Fixed values (oracle side): trip rules in evaluation order.
 TRIP_CASE = """CASE WHEN passenger_count <= 0 THEN 'invalid_passenger_count'
   WHEN passenger_count > 6 THEN 'excessive_passenger_count'
   WHEN trip_time_in_secs < 60 THEN 'trip_too_short'
@@ -42,11 +43,13 @@ TRIP_CASE = """CASE WHEN passenger_count <= 0 THEN 'invalid_passenger_count'
   WHEN pickup_datetime >= dropoff_datetime THEN 'invalid_trip_duration'
   ELSE 'VALID' END"""
 
+# Fixed values (oracle side): fare rules in evaluation order.
 FARE_CASE = """CASE WHEN total_amount < 2.5 THEN 'amount_too_low'
   WHEN total_amount > 1000 THEN 'amount_too_high'
   WHEN fare_amount < 0 THEN 'negative_fare_amount'
   ELSE 'VALID' END"""
 
+# Fixed values (oracle side): region boxes, first match wins.
 BOROUGH_CASE = """CASE
   WHEN pickup_longitude BETWEEN -74.03 AND -73.93 AND pickup_latitude BETWEEN 40.70 AND 40.88 THEN 'Manhattan'
   WHEN pickup_longitude BETWEEN -74.04 AND -73.85 AND pickup_latitude BETWEEN 40.57 AND 40.73 THEN 'Brooklyn'
@@ -55,6 +58,7 @@ BOROUGH_CASE = """CASE
   WHEN pickup_longitude BETWEEN -74.26 AND -74.05 AND pickup_latitude BETWEEN 40.49 AND 40.65 THEN 'Staten Island'
   ELSE 'Unknown' END"""
 
+# Fixed values (oracle side): US federal holidays; DuckDB dayofweek is 0 = Sunday.
 HOLIDAY_NAME_CASE = """CASE
   WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year''s Day'
   WHEN month(d) = 1 AND dayofweek(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'Martin Luther King Jr. Day'
