@@ -29,7 +29,7 @@ from cabflow.operators import kpis, matching, ml, profile, quality, questions
 from cabflow.operators.enrich import add_ymd, analytics_base, question_base
 from cabflow.operators.report import etl_report
 from cabflow.schemas import KEY
-from cabflow.session import build_session, scratch_dir
+from cabflow.session import build_session, input_bytes, scratch_dir, size_for_input
 from cabflow.sinks import writers
 from cabflow.sources import feeds
 
@@ -202,6 +202,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--weather-path", default=os.environ.get("WEATHER_CSV_PATH"))
     ap.add_argument("--refresh-weather", action="store_true", help="re-prepare weather even if a copy exists")
     ap.add_argument("--train-ml", action="store_true")
+    ap.add_argument("--no-autosize", action="store_true",
+                    help="keep spark.sql.shuffle.partitions as configured instead of sizing it from the input")
     args = ap.parse_args(argv)
 
     spark = build_session("cabflow-etl")
@@ -214,6 +216,11 @@ def main(argv: list[str] | None = None) -> int:
         if args.parquet_only:
             run_from_processed(spark, args.output_root, weather, train_ml=args.train_ml)
         else:
+            if not args.no_autosize:
+                paths = [args.trips or os.path.join(args.data_root, feeds.TRIP_GLOB),
+                         args.fares or os.path.join(args.data_root, feeds.FARE_GLOB)]
+                width = size_for_input(spark, input_bytes(spark, paths))
+                print(f"shuffle width sized from input: {width}")
             trips = feeds.load_trips(spark, args.trips, args.data_root, args.sample)
             fares = feeds.load_fares(spark, args.fares, args.data_root, args.sample)
             res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml)

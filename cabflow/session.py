@@ -70,3 +70,34 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint folder for one staged table."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/cabflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target bytes of input per shuffle partition when the job sizes itself from its input.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of files matching ``paths`` (globs allowed), from file-system metadata
+    only (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        for st in fs.globStatus(p) or []:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, nbytes: int, target: int = TARGET_PARTITION_BYTES) -> int:
+    """Set the shuffle width to about one partition per ``target`` bytes of input (never
+    below the configured value) and read files in ``target``-sized splits. The width also
+    sets the staging bucket count and the processed-write width, so files stay near
+    ``target`` at any scale; AQE still coalesces small shuffle partitions at run time.
+    Returns the width in use."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(current, -(-nbytes // target))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target))
+    return width

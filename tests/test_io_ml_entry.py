@@ -136,3 +136,20 @@ def test_job_end_to_end_small(spark, tmp_out):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("cabflow_")]
     q = job.Paths(tmp_out).questions
     assert os.path.isdir(f"{q}/q1_hourly_weekday_weekend.csv")
+
+
+def test_size_for_input(spark, tmp_out):
+    from cabflow.session import input_bytes, size_for_input
+
+    for i in range(3):
+        with open(f"{tmp_out}/f{i}.csv", "w") as f:
+            f.write("x" * 1000)
+    assert input_bytes(spark, [f"{tmp_out}/f*.csv"]) == 3000
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    prev_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        assert size_for_input(spark, 10 * 2**40) == 40960  # 10 TiB / 256 MiB
+        assert size_for_input(spark, 1000) == 40960  # never below what is configured
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev_split)
