@@ -15,7 +15,7 @@ no exchange of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.schemas import KEY
@@ -108,3 +108,44 @@ def unmatched_union(trips_only: DataFrame, fares_only: DataFrame) -> DataFrame:
     return trips_only.withColumn("source", F.lit("trip_data")).unionByName(
         fares_only.withColumn("source", F.lit("fare_data")), allowMissingColumns=True
     )
+
+
+STAT_NAMES = ["valid_trips_for_join", "valid_fares_for_join", "matched_records", "trips_without_fare",
+              "fares_without_trip", "incomplete_records"]
+
+
+def unmatched_with_stats(trips: DataFrame, fares: DataFrame) -> tuple[DataFrame, Observation]:
+    """The unmatched table (same rows and columns as ``unmatched_union``) from ONE full
+    outer join pass, with the match stats observed on that pass.
+
+    Trip-only rows keep the trip side's columns and NULL fare columns (what ``t.*`` in a
+    union gives), fare-only rows the reverse; for those rows the coalesced key equals the
+    side's own key. The stats are read with ``stats_from_observation`` after the write."""
+    t = trips.withColumn("_t", F.lit(1))
+    f = fares.withColumn("_f", F.lit(1))
+    cls = F.col("_class")
+    joined = full_outer(t, f).withColumn("_class", match_class())
+    obs = Observation("match")
+    joined = joined.observe(
+        obs,
+        F.count("t._t").cast("bigint").alias("valid_trips_for_join"),
+        F.count("f._f").cast("bigint").alias("valid_fares_for_join"),
+        F.count_if(cls == MATCHED).cast("bigint").alias("matched_records"),
+        F.count_if(cls == TRIP_ONLY).cast("bigint").alias("trips_without_fare"),
+        F.count_if(cls == FARE_ONLY).cast("bigint").alias("fares_without_trip"),
+        F.count_if(cls == INCOMPLETE).cast("bigint").alias("incomplete_records"),
+    )
+    fare_only_cols = [c for c in fares.columns if c not in KEY]
+    out = joined.filter(cls.isin(TRIP_ONLY, FARE_ONLY)).select(
+        *KEY,
+        *[F.when(cls == TRIP_ONLY, F.col(f"t.{c}")).alias(c) for c in trips.columns if c not in KEY],
+        F.when(cls == TRIP_ONLY, F.lit("trip_data")).otherwise(F.lit("fare_data")).alias("source"),
+        *[F.when(cls == FARE_ONLY, F.col(f"f.{c}")).alias(c) for c in fare_only_cols],
+    )
+    return out, obs
+
+
+def stats_from_observation(spark: SparkSession, obs: Observation) -> DataFrame:
+    """The observed match stats as the one-row table ``match_stats`` returns."""
+    m = obs.get
+    return spark.createDataFrame([tuple(int(m[n]) for n in STAT_NAMES)], ", ".join(f"{n} bigint" for n in STAT_NAMES))

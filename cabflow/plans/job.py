@@ -1,8 +1,9 @@
 """End-to-end jobs.
 
-B1 ``run_etl``   raw feeds -> dedup + validation (staged once as bucketed tables)
-                 -> quarantine CSVs + stats -> full outer match (bucketed, no shuffle)
-                 -> processed Parquet (year/month/day) + unmatched CSV -> report
+B1 ``run_etl``   raw feeds -> dedup + validation (staged once as bucketed tables, reject
+                 stats observed) -> quarantine CSVs -> match on the bucketed tables (no
+                 shuffle): matched -> processed Parquet (year/month/day); one full outer
+                 pass -> unmatched CSV with the match stats observed -> report
                  -> analytics and questions on the written Parquet -> optional ML.
 B2 ``run_from_processed``  processed Parquet -> analytics, questions, optional ML.
 
@@ -113,11 +114,13 @@ def run_etl(
     fare_stats = quality.stats_from_observation(spark, obs_f, "fares")
 
     # 3. match: bucketed SMJ without exchange; matched -> processed layout.
+    # Two join passes in all: the matched rows (Inner) and one full outer pass that writes
+    # the unmatched table while its match stats are observed.
     out = matching.match(good_t, good_f)
     writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}")
-    writers.write_csv(matching.unmatched_union(out[matching.TRIP_ONLY], out[matching.FARE_ONLY]),
-                      f"{p.quarantine}/unmatched_data.csv")
-    match_stats = matching.match_stats(good_t, good_f)
+    unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
+    writers.write_csv(unmatched, f"{p.quarantine}/unmatched_data.csv")
+    match_stats = matching.stats_from_observation(spark, match_obs)
 
     # 4. report: a few rows; written as one CSV.
     report = etl_report(trip_stats, fare_stats, match_stats)

@@ -198,6 +198,12 @@ def unmatched_union(spark, sf):
     return (matching.unmatched_union(m[matching.TRIP_ONLY], m[matching.FARE_ONLY]))
 
 
+@register("unmatched_single_pass", ORACLES["unmatched_union"])
+def unmatched_single_pass(spark, sf):
+    c = flow.fixture_clean(spark, sf)
+    return matching.unmatched_with_stats(c.good_trips, c.good_fares)[0]
+
+
 # ---- business questions -----------------------------------------------------------------
 
 @register(

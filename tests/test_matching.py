@@ -60,3 +60,14 @@ def test_unmatched_union(spark):
     assert u.filter("source = 'trip_data'").count() == 3 and u.filter("source = 'fare_data'").count() == 3
     assert u.filter("source = 'trip_data'").filter("payment_type IS NOT NULL").count() == 0
     assert set(u.columns) >= {"source", "payment_type", "dropoff_datetime"}
+
+
+def test_unmatched_single_pass_equals_union_and_stats(spark, tmp_path):
+    t, f = _sides(spark)
+    out = matching.match(t, f)
+    union = matching.unmatched_union(out["trip_only"], out["fare_only"])
+    single, obs = matching.unmatched_with_stats(t, f)
+    assert single.columns == union.columns, (single.columns, union.columns)
+    single.write.mode("overwrite").parquet(str(tmp_path / "u"))
+    assert sorted(spark.read.parquet(str(tmp_path / "u")).collect(), key=repr) == sorted(union.collect(), key=repr)
+    assert matching.stats_from_observation(spark, obs).first() == matching.match_stats(t, f).first()
