@@ -95,44 +95,46 @@ def run_etl(
     res = RunResult()
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet.
-    # The reject stats are observed during these writes (no second pass for them).
     staged: list[str] = []
-    obs_t_df, obs_t = quality.observe_stats(
-        quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips")
-    obs_f_df, obs_f = quality.observe_stats(
-        quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares")
-    tt = stage_bucketed(obs_t_df, "trips_tagged", buckets, staged)
-    tf = stage_bucketed(obs_f_df, "fares_tagged", buckets, staged)
-    good_t, bad_t = quality.split(tt)
-    good_f, bad_f = quality.split(tf)
-
-    # 2. quarantine (parallel CSV writers) and feed stats (one aggregate each).
-    writers.write_csv(bad_t, f"{p.quarantine}/invalid_trips.csv")
-    writers.write_csv(bad_f, f"{p.quarantine}/invalid_fares.csv")
-    trip_stats = quality.stats_from_observation(spark, obs_t, "trips")
-    fare_stats = quality.stats_from_observation(spark, obs_f, "fares")
-
-    # 3. match: bucketed SMJ without exchange; matched -> processed layout.
-    # Two join passes in all: the matched rows (Inner) and one full outer pass that writes
-    # the unmatched table while its match stats are observed.
-    out = matching.match(good_t, good_f)
-    writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}")
-    unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
-    writers.write_csv(unmatched, f"{p.quarantine}/unmatched_data.csv")
-    match_stats = matching.stats_from_observation(spark, match_obs)
-
-    # 4. report: a few rows; written as one CSV.
-    report = etl_report(trip_stats, fare_stats, match_stats)
-    writers.write_csv(report, f"{p.processed}/etl_report.csv", single_file=True)
-    res.report = spark.read.option("header", True).csv(f"{p.processed}/etl_report.csv")
-    res.outputs["processed"] = f"{p.processed}/{feeds.PROCESSED_TABLE}"
+    try:
+        # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet; the
+        #    reject stats are observed during these writes (no second pass for them).
+        obs_t_df, obs_t = quality.observe_stats(
+            quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips")
+        obs_f_df, obs_f = quality.observe_stats(
+            quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares")
+        tt = stage_bucketed(obs_t_df, "trips_tagged", buckets, staged)
+        tf = stage_bucketed(obs_f_df, "fares_tagged", buckets, staged)
+        good_t, bad_t = quality.split(tt)
+        good_f, bad_f = quality.split(tf)
+        trip_stats = quality.stats_from_observation(spark, obs_t, "trips")
+        fare_stats = quality.stats_from_observation(spark, obs_f, "fares")
+
+        # 2. quarantine: parallel CSV writers over the staged tables.
+        writers.write_csv(bad_t, f"{p.quarantine}/invalid_trips.csv")
+        writers.write_csv(bad_f, f"{p.quarantine}/invalid_fares.csv")
+
+        # 3. match on the bucketed tables (sort-merge join, no exchange). Two join passes
+        #    in all: the matched rows (Inner) -> processed layout, and one full outer pass
+        #    that writes the unmatched table while the match stats are observed.
+        out = matching.match(good_t, good_f)
+        writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}")
+        unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
+        writers.write_csv(unmatched, f"{p.quarantine}/unmatched_data.csv")
+        match_stats = matching.stats_from_observation(spark, match_obs)
+
+        # 4. report: a few rows; written as one CSV.
+        report = etl_report(trip_stats, fare_stats, match_stats)
+        writers.write_csv(report, f"{p.processed}/etl_report.csv", single_file=True)
+        res.report = spark.read.option("header", True).csv(f"{p.processed}/etl_report.csv")
+        res.outputs["processed"] = f"{p.processed}/{feeds.PROCESSED_TABLE}"
+    finally:
+        # The staged data stays below the checkpoint folder; only this run's catalog entries go.
+        for name in staged:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     if analytics:
         res.outputs.update(run_from_processed(spark, output_root, weather, holidays, train_ml, ml_params).outputs)
-    # The staged data stays below the checkpoint folder; only this run's catalog entries go.
-    for name in staged:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return res
 
 
