@@ -46,6 +46,8 @@ def main() -> None:
     out = matching.match(gt, gf)
     show("Match on the bucketed staged tables: matched rows (Inner, no Exchange)", out["matched"])
     show("Trips without fare (LeftOuter, no Exchange)", out["trip_only"])
+    show("Unmatched table from ONE full outer pass, match stats observed (no Exchange)",
+         matching.unmatched_with_stats(gt, gf)[0])
     show("Match stats: one aggregate over the full outer join", matching.match_stats(gt, gf))
     proc = f"{root}/processed/{feeds.PROCESSED_TABLE}"
     writers.write_processed(out["matched"], proc)
