@@ -8,8 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabflow.llm import common, exact_dedup
+from cabflow.llm import common, exact_dedup, packing, token_counts, token_files, warc
+from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +36,44 @@ def query(name: str, oracle: str | None = None):
 )
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(common.table(spark, sf_dir, "documents"))
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+PAGES = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+  min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to FROM f
+"""
+
+
+@query("op4_warc", PAGES)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(common.table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    records = warc.read_archives(spark, manifest, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(common.table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-ids")
+    token_files.write_token_ids(common.table(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"))
+    return token_files.add_crc(token_files.read_token_ids(spark, path))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
