@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import common, exact_dedup, packing, token_counts, token_files, warc
+from cabflow.llm import common, decontaminate, exact_dedup, packing, token_counts, token_files, toxicity, warc
 from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,33 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def toxicity_scorer(docs: DataFrame, labels: DataFrame) -> toxicity.Scorer:
+    """Fitted on the rows that are not held out."""
+    return toxicity.train(docs.filter(~toxicity.held_out()), labels.filter(~toxicity.held_out()))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_scorer(docs, common.table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
