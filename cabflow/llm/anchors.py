@@ -5,8 +5,10 @@ A row per hash would cost several times the text. Here a task packs the hashes o
 of the hash alone, so equal hashes of all sources meet there, and the answer goes back to the
 source and from there to each document as the list of its places.
 
-Hot hashes: a source sends a hash once, however often it holds it, and then knows by itself that
-all those places repeat. So a destination never gets more rows for one hash than there are sources.
+Hot hashes: a source sends a hash once, with how often it holds it; the answer to that one place
+holds for the others, which the source keeps as a list of followers. So a destination never gets
+more entries for one hash than there are sources. The answer also says whether a hash occurs more
+than ``HOT`` times, so that all its holders can treat it in another way.
 
 A document is named by (doc_id, tie): its id (never null here) and a 64-bit hash of its text. Rows
 that repeat both are one document.
@@ -27,10 +29,14 @@ from cabflow.llm import kernels as k
 
 #: A source is closed at this much text.
 SOURCE_BYTES = 48 << 20
-#: ``to``: destination; ``source``: where the answer goes; ``at``: packed ascending places; ``hash``:
-#: 32-bit rest of each place's hash (null: places known to repeat); ``ids``, ``ties`` and
-#: ``bounds``: the documents of a source and where their places begin (on one row of each source).
-PACKED = "to int, source long, at binary, hash binary, ids binary, ties binary, bounds binary"
+#: Occurrences from which a hash is called hot (a source tells at most 255 of its own).
+HOT = 1000
+#: ``to``: destination; ``source``: where the answer goes; ``at``: packed ascending places; ``hash``
+#: and ``count``: 32-bit rest of each place's hash, and how often the source holds it. On one row
+#: of each source: ``ids``, ``ties`` and ``bounds``, its documents and where their places begin, and
+#: ``lead``, the place that speaks for each place of ``at``. In answers a place p is 2 p, or 2 p + 1
+#: if it is hot.
+PACKED = "to int, source long, at binary, hash binary, count binary, ids binary, ties binary, bounds binary, lead binary"
 PLACES = "doc_id long, tie long, places binary"
 
 
@@ -52,7 +58,7 @@ def row(schema: pa.Schema, **values) -> pa.RecordBatch:
 
 
 _PACKED = pa.schema(
-    [("to", pa.int32()), ("source", pa.int64())] + [(n, pa.binary()) for n in ("at", "hash", "ids", "ties", "bounds")]
+    [("to", pa.int32()), ("source", pa.int64())] + [(n, pa.binary()) for n in ("at", "hash", "count", "ids", "ties", "bounds", "lead")]
 )
 _PLACES = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("places", pa.binary())])
 
@@ -101,35 +107,37 @@ def _flush(held: list, source: int, n: int) -> Iterator[pa.RecordBatch]:
         hashes.append(h)
         base += int(b[-1])
     place, h = np.concatenate(at), np.concatenate(hashes)
+    order = np.argsort(h, kind="stable")
+    which, size = runs_of_equal(h[order])
+    first = order[np.cumsum(size) - size]  # one place of each distinct hash
+    follows = np.sort(np.setdiff1d(order, first, assume_unique=True)) if len(first) < len(order) else order[:0]
+    lead = np.empty(len(h), np.int64)
+    lead[order] = place[first][which]
     yield row(
         _PACKED,
         to=source % n,
         source=source,
+        at=place[follows].astype(np.uint32).tobytes(),
+        lead=lead[follows].astype(np.uint32).tobytes(),
         ids=np.concatenate([x[0] for x in held]).astype(np.int64).tobytes(),
         ties=np.concatenate([x[1] for x in held]).astype(np.int64).tobytes(),
         bounds=np.concatenate(bounds).astype(np.int64).tobytes(),
     )
-    if not len(h):
-        return
-    order = np.argsort(h, kind="stable")
-    which, size = runs_of_equal(h[order])
-    many = size[which] > 1
-    if many.any():
-        yield row(_PACKED, to=source % n, source=source, at=squeeze(np.sort(place[order][many])))
-    first = order[np.cumsum(size) - size]  # one place of each distinct hash
-    first = first[np.argsort(place[first], kind="stable")]
+    by_place = np.argsort(place[first], kind="stable")
+    first, size = first[by_place], np.minimum(size[by_place], 255).astype(np.uint8)
     place, h = place[first], h[first]
     to = destination(h, n)
     order = np.argsort(to, kind="stable")
     ends = np.searchsorted(to[order], np.arange(n + 1))
     for t in np.flatnonzero(np.diff(ends)).tolist():
         own = order[ends[t] : ends[t + 1]]
-        yield row(_PACKED, to=t, source=source, at=squeeze(place[own]), hash=(h[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+        rest = (h[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        yield row(_PACKED, to=t, source=source, at=squeeze(place[own]), hash=rest.tobytes(), count=size[own].tobytes())
 
 
 def _meet(batches) -> Iterator[pa.RecordBatch]:
-    """At a destination: pass on the places whose hash several sources sent."""
-    to, source, at, hashes = [], [], [], []
+    """At a destination: answer for the places whose hash occurs more than once."""
+    to, source, at, hashes, counts = [], [], [], [], []
     for b in batches:
         for r in b.to_pylist():
             if r["hash"] is None:
@@ -139,36 +147,44 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
                 source.append(r["source"])
                 at.append(r["at"])
                 hashes.append(np.frombuffer(r["hash"], np.uint32))
+                counts.append(np.frombuffer(r["count"], np.uint8))
     if not hashes:
         return
     sizes = np.array([len(x) for x in hashes])
     h = np.concatenate(hashes).astype(np.uint64) | np.repeat(np.array(to, np.uint64) << np.uint64(32), sizes)
-    del hashes
+    count = np.concatenate(counts).astype(np.int64)
+    del hashes, counts
     order = np.argsort(h, kind="stable")
     which, size = runs_of_equal(h[order])
-    many = np.zeros(len(h), bool)
-    many[order[size[which] > 1]] = True
+    total = np.empty(len(h), np.int64)
+    total[order] = np.add.reduceat(count[order], np.cumsum(size) - size)[which]
     start = np.cumsum(sizes) - sizes
-    for i in np.flatnonzero(np.add.reduceat(many, start)).tolist():
-        keep = unsqueeze(at[i])[many[start[i] : start[i] + sizes[i]]]
-        yield row(_PACKED, to=0, source=source[i], at=squeeze(keep))
+    for i in np.flatnonzero(np.add.reduceat(total > 1, start)).tolist():
+        own = total[start[i] : start[i] + sizes[i]]
+        places = unsqueeze(at[i])[own > 1] * 2 + (own[own > 1] > HOT)
+        yield row(_PACKED, to=0, source=source[i], at=squeeze(places))
 
 
 def _to_documents(batches) -> Iterator[pa.RecordBatch]:
     """At a source: the places of each document that has any."""
     places: dict[int, list[bytes]] = {}
-    known: dict[int, tuple] = {}
+    known: dict[int, dict] = {}
     for b in batches:
         for r in b.to_pylist():
             if r["ids"] is not None:
-                known[r["source"]] = tuple(np.frombuffer(r[n], np.int64) for n in ("ids", "ties", "bounds"))
+                known[r["source"]] = r
             else:
                 places.setdefault(r["source"], []).append(r["at"])
     for source, packed in places.items():
-        ids, ties, bounds = known[source]
-        at = np.unique(np.concatenate([unsqueeze(x) for x in packed]))
-        ends = np.searchsorted(at, bounds)
-        out = [(i, at[ends[i] : ends[i + 1]] - bounds[i]) for i in np.flatnonzero(np.diff(ends)).tolist()]
+        own = known.pop(source)
+        ids, ties, bounds = (np.frombuffer(own[n], np.int64) for n in ("ids", "ties", "bounds"))
+        at = np.sort(np.concatenate([unsqueeze(x) for x in packed]))
+        follower, lead = (np.frombuffer(own[n], np.uint32).astype(np.int64) for n in ("at", "lead"))
+        if len(follower):
+            hot = at[np.searchsorted(at, lead * 2)] - lead * 2  # every lead was answered
+            at = np.sort(np.concatenate([at, follower * 2 + hot]))
+        ends = np.searchsorted(at, bounds * 2)
+        out = [(i, at[ends[i] : ends[i + 1]] - bounds[i] * 2) for i in np.flatnonzero(np.diff(ends)).tolist()]
         for a in range(0, len(out), 1000):
             part = out[a : a + 1000]
             yield pa.record_batch(
@@ -182,8 +198,9 @@ def _to_documents(batches) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_places(texts: DataFrame, mark: Callable) -> DataFrame:
-    """``PLACES`` of every document that has a hash which occurs elsewhere too (or, once in about
-    2**32 hashes of a destination, seems to). ``texts`` as from ``keyed_texts``."""
+    """``PLACES`` (2 p, or 2 p + 1 if hot) of every document that has a hash which occurs elsewhere
+    too (or, once in about 2**32 hashes of a destination, seems to). ``texts`` as from
+    ``keyed_texts``."""
     n = common.width(texts.sparkSession)
     return (
         texts.mapInArrow(_packer(mark, n), PACKED)

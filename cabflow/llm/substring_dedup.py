@@ -84,7 +84,7 @@ def _candidates(window: int, n: int):
         for c in k.chunks(batches):
             w = k.words(c.data, c.bounds, k.NON_SPACE)
             at, h = k.windows(w, window)
-            anchors = [unsqueeze(x) + w.bounds[i] for i, x in enumerate(c.rows.column("places").to_pylist())]
+            anchors = [(unsqueeze(x) >> 1) + w.bounds[i] for i, x in enumerate(c.rows.column("places").to_pylist())]
             near = np.zeros(len(w.hash) + reach + 1, np.int32)
             near[np.concatenate(anchors)] = 1
             before = np.append(0, np.cumsum(near))
