@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import common, decontaminate, exact_dedup, packing, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
+from cabflow.llm import common, decontaminate, exact_dedup, near_dedup, packing, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
 from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_classes(common.table(spark, sf_dir, "documents")).drop("node")
