@@ -58,60 +58,6 @@ def _driver_memory() -> str:
         return "4g"
 
 
-def naive_run(spark, inp: str, out: str) -> dict[str, float]:
-    """Comparison run in the reference's execution style: no staging (every action
-    recomputes from CSV), separate count/collect actions, ``coalesce(1)`` on the big
-    sinks, six separate KPI group-bys, a separate quantile job, and one write job per
-    question over the un-materialised matched lineage. Same operators, same results."""
-    from cabflow.operators import kpis, matching, profile, quality
-    from cabflow.operators.enrich import add_ymd, analytics_base
-    from cabflow.schemas import KEY
-
-    times: dict[str, float] = {}
-    t0 = time.perf_counter()
-    trips = feeds.load_trips(spark, f"{inp}/trips")
-    fares = feeds.load_fares(spark, f"{inp}/fares")
-    trips.count()
-    fares.count()
-    tt = quality.tag_trips(trips.dropDuplicates(KEY))
-    tf = quality.tag_fares(fares.dropDuplicates(KEY))
-    gt, bt = quality.split(tt)
-    gf, bf = quality.split(tf)
-    for bad in (bt, bf):
-        if bad.count() > 0:
-            bad.groupBy("rejection_reason").count().collect()
-    gt.count()
-    gf.count()
-    m = matching.match(gt, gf)
-    m["trip_only"].count()
-    m["fare_only"].count()
-    m["matched"].count()
-    bt.coalesce(1).write.option("header", True).mode("overwrite").csv(f"{out}/n_bad_t")
-    bf.coalesce(1).write.option("header", True).mode("overwrite").csv(f"{out}/n_bad_f")
-    matching.unmatched_union(m["trip_only"], m["fare_only"]).coalesce(1).write.option("header", True).mode(
-        "overwrite").csv(f"{out}/n_unmatched")
-    add_ymd(m["matched"]).coalesce(1).write.partitionBy("year", "month", "day").mode("overwrite").parquet(
-        f"{out}/n_processed")
-    times["etl"] = round(time.perf_counter() - t0, 3)
-
-    t0 = time.perf_counter()
-    base = analytics_base(add_ymd(m["matched"]))
-    profile.overview(base).collect()
-    profile.numeric_stats(base, quantiles=False).collect()
-    base.stat.approxQuantile(profile.numeric_columns(base), profile.QUANTILE_PROBS, profile.QUANTILE_REL_ERROR)
-    for name, df in kpis.segmented_kpis(base).items():
-        df.collect()
-    times["analytics"] = round(time.perf_counter() - t0, 3)
-
-    qbase = question_base(m["matched"], weather=feeds.load_or_prepare_weather(spark, f"{out}/n_p", f"{inp}/weather"))
-    for name, df in questions.business_questions(qbase).items():
-        t0 = time.perf_counter()
-        df.coalesce(1).write.option("header", True).mode("overwrite").csv(f"{out}/n_{name}")
-        times[name.split("_")[0] + ("b" if "streak" in name or "precip" in name else "")] = round(
-            time.perf_counter() - t0, 3)
-    return times
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
@@ -139,13 +85,6 @@ def main() -> None:
     writers.write_csv(fixtures.fares_raw(spark, sf_dir), f"{inp}/fares")
     writers.write_csv(fixtures.weather_csv_frame(spark, sf_dir), f"{inp}/weather")
 
-    if os.environ.get("BENCH_MODE") == "naive":
-        times = naive_run(spark, inp, out)
-        print(json.dumps({"metric": "naive_comparison_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                          "queries": times, "sf": sf, "cpus": cpus, "mode": "naive"}))
-        spark.stop()
-        return
-
     times: dict[str, float] = {}
 
     def timed(name, fn):

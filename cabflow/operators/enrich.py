@@ -1,6 +1,6 @@
 """Feature enrichment of matched trips: time, derived measures, flags, holidays,
-region, weather. Each step is a projection or a broadcast left join against a small,
-size-checked dimension, so the trip table is never shuffled here."""
+region, weather. Each step is a projection, or a left join against a dimension (one row per
+hour, or a given holiday table) that the planner broadcasts where it is small."""
 
 from __future__ import annotations
 
@@ -8,20 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions import features as fx
-from cabflow.sources.dims import one_row_per_hour, us_federal_holidays
-
-# A dimension is broadcast only when its row count is checked to be below this bound.
-BROADCAST_MAX_ROWS = 2_000_000
-# Default holiday calendar span: ten rows per year, 1,310 rows in all.
-DEFAULT_HOLIDAY_YEARS = (1970, 2100)
-
-
-def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if it has at most ``max_rows`` rows; otherwise leave the choice
-    to the planner (shuffle join / AQE). The check is one count over the dimension."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
+from cabflow.sources.dims import holiday_name, one_row_per_hour
 
 def add_time_features(df: DataFrame) -> DataFrame:
     return df.withColumns({"pickup_hour": fx.pickup_hour(), "pickup_dow": fx.pickup_dow()})
@@ -49,17 +36,13 @@ def add_borough(df: DataFrame) -> DataFrame:
 
 
 def add_holidays(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
-    """Left join on the pickup date; ``is_holiday`` is 0 where no holiday matches.
-    Leaves ``pickup_date``. Without a holiday table the rule calendar for
-    ``DEFAULT_HOLIDAY_YEARS`` is used (1,310 rows by construction, broadcast without a
-    count); a given table is de-duplicated by date and size-checked."""
-    if holidays is None:
-        dim = us_federal_holidays(df.sparkSession, *DEFAULT_HOLIDAY_YEARS)
-        h = F.broadcast(dim.select(F.col("date").alias("_h_date"), F.col("is_holiday").alias("_h_flag")))
-    else:
-        h = holidays.groupBy(F.col("date").alias("_h_date")).agg(F.max("is_holiday").alias("_h_flag"))
-        h = sized_broadcast(h)
+    """``pickup_date`` and ``is_holiday`` (0 where no holiday matches). Without a holiday table the
+    flag is a function of the date alone: no join, any year. A given table is de-duplicated
+    by date and left-joined; the planner chooses how."""
     out = df.withColumn("pickup_date", F.to_date("pickup_datetime"))
+    if holidays is None:
+        return out.withColumn("is_holiday", F.when(holiday_name(F.col("pickup_date")).isNotNull(), 1).otherwise(0))
+    h = holidays.groupBy(F.col("date").alias("_h_date")).agg(F.max("is_holiday").alias("_h_flag"))
     out = out.join(h, out["pickup_date"] == h["_h_date"], "left")
     return out.withColumn("is_holiday", F.coalesce(F.col("_h_flag"), F.lit(0))).drop("_h_date", "_h_flag")
 
@@ -69,7 +52,7 @@ def add_weather(df: DataFrame, weather: DataFrame, dedupe_hours: bool = True) ->
     With ``dedupe_hours`` (default) duplicate hours are averaged first so trips are never
     multiplied; ``False`` keeps the raw dimension as given."""
     w = one_row_per_hour(weather) if dedupe_hours else weather
-    w = sized_broadcast(w.withColumnRenamed("timestamp_hour_utc", "_w_hour"))
+    w = w.withColumnRenamed("timestamp_hour_utc", "_w_hour")  # adaptive execution broadcasts it where it is small
     out = df.withColumn("pickup_hour_utc", fx.pickup_hour_utc())
     out = out.join(w, out["pickup_hour_utc"] == w["_w_hour"], "left").drop("_w_hour")
     return out.withColumns(

@@ -44,7 +44,7 @@ MEASURE_ORDER = ["avg_total_amount", "p50_total_amount", "p95_total_amount", "av
 
 
 def _exact_percentiles(agg: DataFrame, df: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Replace the sketch percentiles of ``agg`` by exact ones (distributed rank pick)."""
+    """Replace the sketch percentiles of ``agg`` by exact ones (``operators.quantiles``)."""
     q = grouped_exact_quantiles(df, group_cols, "total_amount", [p for _, p in PERCENTILES],
                                 [n for n, _ in PERCENTILES])
     base = agg.drop(*[n for n, _ in PERCENTILES])
@@ -57,8 +57,8 @@ def segmented_kpis(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bo
     """One lazy group-by per segmentation whose columns exist in ``df``.
 
     ``exact=False`` (default): percentiles from the bounded sketch, as the reference.
-    ``exact=True``: percentiles are the exact rank-``ceil(p*n)`` values (one extra
-    range-partitioned pass over ``total_amount``; see ``operators.quantiles``)."""
+    ``exact=True``: percentiles are the exact rank-``ceil(p*n)`` values (two more
+    aggregates over ``total_amount``; see ``operators.quantiles``)."""
     out = {}
     for name, cols in SEGMENTS.items():
         if all(c in df.columns for c in cols):
@@ -71,8 +71,8 @@ def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact:
     """All segmentations in one aggregate. Columns: ``segment`` (name), ``grouping_id``,
     every grouping column (NULL where not grouped) and the measures. ``grouping_id`` keeps
     a real NULL segment value apart from a rolled-up column. With ``exact`` the
-    percentiles of all segments come from ONE distributed rank pass over the
-    ``(segment, value)`` rows."""
+    percentiles of all segments come from ONE rank pass over the ``(segment, value)``
+    rows."""
     segs = {n: cols for n, cols in SEGMENTS.items() if all(c in df.columns for c in cols)}
     group_cols: list[str] = []
     for cols in segs.values():
@@ -102,21 +102,26 @@ def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact:
     )
     if not exact:
         return agg
-    # One row per (segment, input row): the segment's grouping values, others NULL.
+    rows, keys = segment_rows(df)
+    q = grouped_exact_quantiles(rows, keys, "total_amount", [p for _, p in PERCENTILES], [n for n, _ in PERCENTILES])
+    out = attach(agg.drop(*[n for n, _ in PERCENTILES]), q, keys, [n for n, _ in PERCENTILES])
+    return out.select("segment", "grouping_id", *group_cols, *MEASURE_ORDER)
+
+
+def segment_rows(df: DataFrame, value: str = "total_amount") -> tuple[DataFrame, list[str]]:
+    """One row per (segment, input row): ``segment``, its grouping values (others NULL) and the
+    value; and the names of the key columns."""
+    segs = {n: cols for n, cols in SEGMENTS.items() if all(c in df.columns for c in cols)}
+    group_cols = [c for c in _all_group_cols() if any(c in cols for cols in segs.values())]
     rows = df.select(
-        F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row"),
-        F.col("total_amount"),
+        F.col(value),
         F.explode(F.array(*[
             F.struct(F.lit(n).alias("segment"), *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
                                                   for c in group_cols])
             for n, cols in segs.items()
         ])).alias("_s"),
-    ).select("_s.*", "total_amount", "_row")
-    keys = ["segment", *group_cols]
-    q = grouped_exact_quantiles(rows, keys, "total_amount", [p for _, p in PERCENTILES],
-                                [n for n, _ in PERCENTILES], tiebreak_cols=["_row"])
-    out = attach(agg.drop(*[n for n, _ in PERCENTILES]), q, keys, [n for n, _ in PERCENTILES])
-    return out.select("segment", "grouping_id", *group_cols, *MEASURE_ORDER)
+    ).select("_s.*", value)
+    return rows, ["segment", *group_cols]
 
 
 def _gid_of(cols: list[str], group_cols: list[str]) -> int:
@@ -180,17 +185,14 @@ def kpi_summary_long(
 
     group_cols = _all_group_cols()
     measures = [m for m in grouped.columns if m not in ("segment", "grouping_id") and m not in group_cols]
-    parts = []
+    # All segments in one pass over ``grouped``: the label depends on the segment of the row.
+    label = F.lit(None).cast("string")
     for name, cols in SEGMENTS.items():
-        seg_label = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-        parts.append(
-            grouped.filter(F.col("segment") == name).select(
-                F.lit(name.upper()).alias("section"),
-                seg_label.alias("segment"),
-                F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), fmt(m).alias("value")) for m in measures])).alias("m"),
-            ).select("section", "segment", "m.metric", "m.value")
-        )
-    out = ov.unionByName(num)
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+        own = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+        label = F.when(F.col("segment") == name, own).otherwise(label)
+    kpi = grouped.select(
+        F.upper("segment").alias("section"),
+        label.alias("segment"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), fmt(m).alias("value")) for m in measures])).alias("m"),
+    ).select("section", "segment", "m.metric", "m.value")
+    return ov.unionByName(num).unionByName(kpi)

@@ -4,8 +4,8 @@
   matched trips after a plausibility filter.
 * The 80/20 split is a hash of the trip key (stable under repartitioning and executor
   loss, reproducible in SQL); ``randomSplit`` is kept as an option.
-* The training table is written once below the checkpoint folder and read back, which
-  cuts the lineage before the iterative fits; the read-back is cached for the fits.
+* The training columns are written once below the checkpoint folder and read back, which
+  cuts the lineage before the iterative fits. Every row is used: there is no cap.
 * Metrics are ONE aggregate per model (instead of one evaluator job per metric) and
   equal the Spark evaluators' definitions.
 """
@@ -23,17 +23,19 @@ from pyspark.sql import functions as F
 
 from cabflow.functions import features as fx
 from cabflow.schemas import KEY
-from cabflow.session import scratch_dir
+from cabflow.session import remove_path, scratch_dir
 
+# The feature columns and the two labels.
 FEATURES = ["haversine_distance", "pickup_hour", "is_weekend", "passenger_count"]
 REG_LABEL = "total_amount"
 CLS_LABEL = "is_high_traffic"
-# Reference row cap before training and traffic threshold (mph).
-MAX_TRAINING_ROWS = 50_000_000
+# Fixed value: traffic threshold (mph).
 HIGH_TRAFFIC_MPH = 12.0
 TRAIN_BUCKETS = 8  # of 10 hash buckets -> 80 % train
+BUCKET = "split_bucket"
 
 
+# The bounds of a plausible trip.
 def plausible(df: DataFrame) -> DataFrame:
     """Total 2.5-500, both points inside lon -75..-72 / lat 40..42, passengers > 0."""
     return df.filter(
@@ -80,32 +82,13 @@ def split(df: DataFrame, method: str = "hash", seed: int = 42) -> tuple[DataFram
     if method == "random":
         train, test = df.randomSplit([0.8, 0.2], seed=seed)
         return train, test
-    b = key_bucket()
+    b = F.col(BUCKET) if BUCKET in df.columns else key_bucket()
     return df.filter(b < TRAIN_BUCKETS), df.filter(b >= TRAIN_BUCKETS)
 
 
-CAP_RESOLUTION = 1_000_000
-
-
-def cap_rows(df: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
-    """The reference's row cap before training (which rows is arbitrary there).
-
-    A ``limit`` below the top of a plan gathers its rows into ONE partition, so the cap
-    is taken as a key-hash fraction instead: one count, then rows whose key hash falls
-    below ``max_rows / count`` are kept - distributed, deterministic under recompute,
-    about ``max_rows`` rows. Below the cap nothing is dropped and no filter is added."""
-    if max_rows is None:
-        return df
-    n = df.count()
-    if n <= max_rows:
-        return df
-    keep = int(CAP_RESOLUTION * max_rows / n)
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.lit(CAP_RESOLUTION))
-    return df.filter(h < keep)
-
-
 # ---- models -------------------------------------------------------------------------------
 
+# The parameters of the six models.
 @dataclass
 class ModelParams:
     lr_max_iter: int = 100
@@ -158,11 +141,9 @@ def regression_metrics(pred: DataFrame, label: str = REG_LABEL, prediction: str
         F.count(F.lit(1)).alias("n"),
         F.sum((p - y) * (p - y)).alias("sse"),
         F.sum(F.abs(p - y)).alias("sae"),
-        F.avg(y).alias("mean_y"),
-        F.sum(y * y).alias("syy"),
-        F.sum(y).alias("sy"),
+        F.var_pop(y).alias("var_y"),
     )
-    ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    ss_tot = F.col("var_y") * F.col("n")
     return s.select(
         F.sqrt(F.col("sse") / F.col("n")).alias("RMSE"),
         (F.col("sae") / F.col("n")).alias("MAE"),
@@ -204,12 +185,16 @@ def metrics_long(wide: DataFrame, task: str, model: str) -> DataFrame:
     ).select("task", "model", "m.metric", "m.value")
 
 
-def stage_training_table(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write the prepared table once (shared checkpoint folder) and read it back cached."""
-    spark = df.sparkSession
-    path = path or scratch_dir(spark, "ml-features")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).cache()
+def training_columns(df: DataFrame, params: ModelParams | None = None) -> DataFrame:
+    """The features, the two labels and the train/test bucket: all that the fits read."""
+    return df.select(*(params or ModelParams()).features, REG_LABEL, CLS_LABEL, key_bucket().alias(BUCKET))
+
+
+def stage_training_table(df: DataFrame, path: str) -> DataFrame:
+    """Write the training columns once and read them back: the iterative fits scan a narrow
+    Parquet table and do not recompute the match."""
+    training_columns(df).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def train_evaluate(
@@ -223,33 +208,39 @@ def train_evaluate(
     """Fit the task's models on the train split, evaluate on the test split; returns the
     metrics as ``task, model, metric, value``. Models are saved under ``output_path``."""
     p = params or ModelParams()
+    spark = data.sparkSession
+    root = output_path.rstrip("/") if output_path else scratch_dir(spark, "models")
     ests = regressors(p) if task == "regression" else classifiers(p)
     train, test = split(data, split_method, p.seed)
     parts = []
     for name, est in ests.items():
         if models and name not in models:
             continue
-        model = fit(est, train, p.features)
-        if output_path:
-            model.write().overwrite().save(f"{output_path.rstrip('/')}/{task}/{name}")
-        pred = model.transform(test)
+        fit(est, train, p.features).write().overwrite().save(f"{root}/{task}/{name}")
+        # Score with the model as saved. A freshly fitted logistic model still holds its training
+        # summary, and through it the session, which cannot be sent to tasks once any query of
+        # the session has used ``observe``.
+        pred = PipelineModel.load(f"{root}/{task}/{name}").transform(test)
         wide = regression_metrics(pred) if task == "regression" else classification_metrics(pred)
         # Materialise the small metrics row now, so the result no longer depends on the model.
-        parts.append(data.sparkSession.createDataFrame(metrics_long(wide, task, name).collect(),
-                                                       "task string, model string, metric string, value double"))
+        parts.append(spark.createDataFrame(metrics_long(wide, task, name).collect(),
+                                           "task string, model string, metric string, value double"))
+    if not output_path:
+        remove_path(spark, root)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def run_ml(df: DataFrame, output_path: str | None = None, params: ModelParams | None = None,
-           max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
-    """Features -> cap -> staged table -> three regressors and three classifiers."""
-    data = stage_training_table(cap_rows(prepare_features(df), max_rows))
+def run_ml(df: DataFrame, output_path: str | None = None, params: ModelParams | None = None) -> DataFrame:
+    """Features -> staged table -> three regressors and three classifiers, fitted and evaluated on
+    every row. The staged copy is removed once the metrics are there."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "ml-features")
     try:
+        data = stage_training_table(prepare_features(df), path)
         reg = train_evaluate(data, "regression", params, output_path=output_path)
-        cls = train_evaluate(data, "classification", params, output_path=output_path)
-        return reg.unionByName(cls)
+        return reg.unionByName(train_evaluate(data, "classification", params, output_path=output_path))
     finally:
-        data.unpersist()
+        remove_path(spark, path)

@@ -1,16 +1,16 @@
-"""Exact discrete quantiles per group, distributed.
+"""Exact discrete quantiles per group, and a check of approximate ones.
 
 For probability p over the n non-NULL values of a group, the result is the value at
-rank ``max(1, ceil(p * n))`` in ascending order (the value ``percentile_approx``
-converges to, and what its rank-error bound is measured against).
-
-How: rows are range-partitioned on (group, value, tie-breaker) and sorted within
-partitions, so a partition holds consecutive runs of a group's values and a hot group
-or a hot value is split over many tasks (the tie-breaker is a hash of the whole input
-row, deterministic under recomputation). Each row's position inside its partition is
-read from ``monotonically_increasing_id``; a small table of per-(partition, group)
-counts gives every block its rank offset; the target ranks are picked with a join.
-Nothing is buffered per group and nothing goes through the driver.
+rank ``max(1, ceil(p * n))`` in ascending order.
+
+How: a bounded sketch gives each group, for each p, two values between which that rank
+must lie. Every row then becomes one of two things: itself, if it lies in such a
+bracket, or a mere count for the gap between brackets. After a partial aggregate only
+the distinct values inside brackets (about ``4 / accuracy`` of them per probability) and a
+handful of gap counts are left per group; a running count over those finds the ranks.
+The values are never sorted or gathered whole, a hot group or a hot value collapses
+map-side, and the answer does not depend on how rows are partitioned: the brackets are
+used in one place, so any brackets that hold the ranks give the same result.
 """
 
 from __future__ import annotations
@@ -18,63 +18,87 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Accuracy of the sketch that brackets the ranks (its rank error is 1 / accuracy).
+BRACKET_ACCURACY = 10000
+
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     conds = [left[c].eqNullSafe(right[c]) for c in cols]
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
+def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of their group, matched null-safely on ``keys``."""
+    named = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    conds = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    on = reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
+    return rows.join(named, on).drop(*[f"_g_{k}" for k in keys])
+
+
+def _rank(p: float, n: str = "_n") -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col(n)))
+
+
 def grouped_exact_quantiles(
     df: DataFrame,
     group_cols: Sequence[str],
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str],
-    num_partitions: int | None = None,
-    tiebreak_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """``group_cols`` + one double column per name, for every group with a non-NULL value
     (attach to the group's other aggregates with ``attach``)."""
-    group_cols = list(group_cols)
-    spark = df.sparkSession
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tb_cols = list(tiebreak_cols) if tiebreak_cols else list(df.columns)
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v"),
-                     F.xxhash64(*[F.col(c) for c in tb_cols]).alias("_tb"))
-    vals = vals.filter(F.col("_v").isNotNull())
-
-    order = [*group_cols, "_v", "_tb"]
-    ordered = vals.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    pos = ordered.select(
-        *group_cols, "_v", pid.alias("_pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_pos"),
+    keys = [f"_k{i}" for i in range(len(group_cols))]
+    vals = df.select(*[F.col(c).alias(k) for c, k in zip(group_cols, keys, strict=True)],
+                     F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    slack = 2.0 / BRACKET_ACCURACY
+    low = [max(0.0, probs[i] - slack) for i in order]
+    high = [min(1.0, probs[i] + slack) for i in order]
+    brackets = vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", low, BRACKET_ACCURACY).alias("_lo"),
+        F.percentile_approx("_v", high, BRACKET_ACCURACY).alias("_hi"),
     )
-    blocks = pos.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*group_cols)
-    blocks = blocks.withColumns({
-        "_off": F.coalesce(F.sum("_cnt").over(w), F.lit(0)),
-        "_n": F.sum("_cnt").over(w_all),
-    })
-    # Target rank of every probability, matched to the one block that holds it.
-    targets = blocks.select(
-        *group_cols, "_pid", "_off", "_cnt", "_first",
-        F.explode(F.array(*[
-            F.struct(F.lit(nm).alias("_q"), F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("_n"))).alias("_rank"))
-            for p, nm in zip(probs, names)
-        ])).alias("_t"),
-    ).select(*group_cols, "_pid", "_off", "_cnt", "_first", "_t._q", "_t._rank")
-    hits = targets.filter((F.col("_rank") > F.col("_off")) & (F.col("_rank") <= F.col("_off") + F.col("_cnt"))).select(
-        "_pid", "_q", (F.col("_rank") - F.col("_off") - 1 + F.col("_first")).alias("_pos"))
-    # One hit per (group, probability): a small table, joined on the partition and position.
-    picked = pos.join(hits, ["_pid", "_pos"]).select(*group_cols, "_q", "_v")
-    return picked.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("_q") == nm, F.col("_v"))).alias(nm) for nm in names]
+    joined = _join_groups(vals, brackets, keys)
+    above = [F.col("_lo")[i] <= F.col("_v") for i in range(len(probs))]
+    inside = reduce(lambda a, b: a | b, [a & (F.col("_v") <= F.col("_hi")[i]) for i, a in enumerate(above)])
+    # Gap g lies above every bracket that begins at or below it, hence after their values.
+    cells = joined.select(
+        *keys, "_n",
+        reduce(lambda a, b: a + b, [F.when(a, 1).otherwise(0) for a in above]).alias("_g"),
+        F.when(inside, F.col("_v")).alias("_x"),
+    ).groupBy(*keys, "_n", "_g", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*keys).orderBy("_g", F.col("_x").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    placed = cells.withColumn("_to", F.sum("_c").over(running))
+    return placed.groupBy(*keys).agg(*[
+        F.max(F.when((_rank(p) <= F.col("_to")) & (_rank(p) > F.col("_to") - F.col("_c")), F.col("_x"))).alias(nm)
+        for p, nm in zip(probs, names, strict=True)
+    ]).withColumnsRenamed(dict(zip(keys, group_cols, strict=True)))
+
+
+def rank_bounds_hold(
+    df: DataFrame, group_cols: Sequence[str], value_col: str, approx: DataFrame,
+    probs: Sequence[float], names: Sequence[str], accuracy: int,
+) -> DataFrame:
+    """``group_cols`` + one boolean per name: whether the approximate quantile in ``approx`` is a
+    value whose rank is within ``n / accuracy`` (and one) of the exact rank."""
+    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    j = _join_groups(vals, approx.select(*group_cols, *names), group_cols)
+    counts = j.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col("_v") < F.col(n)).alias(f"_b_{n}") for n in names],
+        *[F.count_if(F.col("_v") <= F.col(n)).alias(f"_t_{n}") for n in names],
     )
+    slack = F.ceil(F.col("_n") / F.lit(float(accuracy))) + 1
+    return counts.select(*group_cols, *[
+        ((F.col(f"_b_{n}") + 1 <= _rank(p) + slack) & (F.col(f"_t_{n}") >= _rank(p) - slack)).alias(n)
+        for p, n in zip(probs, names, strict=True)
+    ])
 
 
 def attach(left: DataFrame, right: DataFrame, group_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """The run summary as a metrics table ``source, metric, value, pct`` (no console text):
-rejected share of each feed's input and unmatched share of each side's valid rows
-(0 when the denominator is 0). All inputs are one-row or few-row stats tables."""
+rejected share of each feed's input, in all and by reason, and unmatched share of each side's
+valid rows (0 when the denominator is 0). All inputs are one-row or few-row stats tables."""
 
 from __future__ import annotations
 
@@ -13,19 +13,15 @@ def _pct(num: Column, den: Column) -> Column:
 
 
 def _feed_rows(stats: DataFrame) -> DataFrame:
-    wide = stats.groupBy("source").agg(
-        F.max(F.when(F.col("metric") == "total_records", F.col("value"))).alias("total"),
-        F.max(F.when(F.col("metric") == "rejected_records", F.col("value"))).alias("rejected"),
-    )
-    return wide.select(
+    """Every metric of a feed's reject stats, reasons included; rejected rows and each reason as a
+    share of the feed's input rows."""
+    total = stats.filter(F.col("metric") == "total_records").select("source", F.col("value").alias("_total"))
+    return stats.join(F.broadcast(total), "source", "left").select(
         "source",
-        F.explode(F.array(
-            F.struct(F.lit("total_records").alias("metric"), F.col("total").alias("value"),
-                     F.lit(None).cast("double").alias("pct")),
-            F.struct(F.lit("rejected_records").alias("metric"), F.col("rejected").alias("value"),
-                     _pct(F.col("rejected"), F.col("total")).alias("pct")),
-        )).alias("m"),
-    ).select("source", "m.metric", "m.value", "m.pct")
+        "metric",
+        "value",
+        F.when(F.col("metric") != "total_records", _pct(F.col("value"), F.col("_total"))).alias("pct"),
+    )
 
 
 def etl_report(trip_stats: DataFrame, fare_stats: DataFrame, match_stats: DataFrame) -> DataFrame:

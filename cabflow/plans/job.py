@@ -30,11 +30,13 @@ from cabflow.operators import kpis, matching, ml, profile, quality, questions
 from cabflow.operators.enrich import add_ymd, analytics_base, question_base
 from cabflow.operators.report import etl_report
 from cabflow.schemas import KEY
-from cabflow.session import build_session, input_bytes, scratch_dir, size_for_input
+from cabflow.session import Sizes, build_session, input_bytes, remove_path, scratch_dir, sized_for, sizes_for
 from cabflow.sinks import writers
 from cabflow.sources import feeds
 
 
+# The folders and file names below the output root, and the option names and defaults
+# of the command line.
 @dataclass
 class Paths:
     output_root: str
@@ -55,6 +57,10 @@ class Paths:
     def questions(self) -> str:
         return f"{self.analytics}/questions"
 
+    @property
+    def staging(self) -> str:
+        return f"{self.output_root.rstrip('/')}/_staging"
+
     @property
     def models(self) -> str:
         return f"{self.processed}/models"
@@ -67,16 +73,17 @@ class RunResult:
     outputs: dict[str, str] = field(default_factory=dict)
 
 
-def stage_bucketed(df: DataFrame, name: str, buckets: int, registry: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once below the checkpoint folder, bucketed and sorted on the key,
-    register it (external table) under a unique name and return the table. The name is
-    appended to ``registry`` so the caller can drop the catalog entry afterwards."""
+def stage_bucketed(df: DataFrame, name: str, buckets: int, root: str | None = None,
+                   registry: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once below ``root``, bucketed on the key (the join sorts each bucket itself),
+    register it (external table) under a unique name and return the table. Name and
+    folder go to ``registry``, so the caller can drop both afterwards."""
     spark = df.sparkSession
     table = f"cabflow_{name}_{uuid.uuid4().hex[:10]}"
-    (df.write.bucketBy(buckets, *KEY).sortBy(*KEY)
-     .option("path", scratch_dir(spark, name)).mode("overwrite").saveAsTable(table))
+    path = scratch_dir(spark, name, root)
     if registry is not None:
-        registry.append(table)
+        registry[table] = path
+    df.write.bucketBy(buckets, *KEY).option("path", path).mode("overwrite").saveAsTable(table)
     return spark.table(table)
 
 
@@ -90,12 +97,23 @@ def run_etl(
     train_ml: bool = False,
     ml_params: ml.ModelParams | None = None,
     analytics: bool = True,
+    sizes: Sizes | None = None,
 ) -> RunResult:
+    """``sizes`` (see ``session.sizes_for``) hold for the ETL alone; the aggregates after it run
+    with the session's own width."""
     p = Paths(output_root)
     res = RunResult()
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with sized_for(spark, sizes):
+        _etl(spark, p, res, trips_raw, fares_raw, sizes)
+    if analytics:
+        res.outputs.update(run_from_processed(spark, output_root, weather, holidays, train_ml, ml_params).outputs)
+    return res
+
 
-    staged: list[str] = []
+def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fares_raw: DataFrame,
+         sizes: Sizes | None) -> None:
+    buckets = sizes.buckets if sizes else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged: dict[str, str] = {}
     try:
         # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet; the
         #    reject stats are observed during these writes (no second pass for them).
@@ -103,8 +121,8 @@ def run_etl(
             quality.validated_trips(trips_raw, multiplicity=quality.MULTIPLICITY), "trips")
         obs_f_df, obs_f = quality.observe_stats(
             quality.validated_fares(fares_raw, multiplicity=quality.MULTIPLICITY), "fares")
-        tt = stage_bucketed(obs_t_df, "trips_tagged", buckets, staged)
-        tf = stage_bucketed(obs_f_df, "fares_tagged", buckets, staged)
+        tt = stage_bucketed(obs_t_df, "trips_tagged", buckets, p.staging, staged)
+        tf = stage_bucketed(obs_f_df, "fares_tagged", buckets, p.staging, staged)
         good_t, bad_t = quality.split(tt)
         good_f, bad_f = quality.split(tf)
         trip_stats = quality.stats_from_observation(spark, obs_t, "trips")
@@ -114,9 +132,9 @@ def run_etl(
         writers.write_csv(bad_t, f"{p.quarantine}/invalid_trips.csv")
         writers.write_csv(bad_f, f"{p.quarantine}/invalid_fares.csv")
 
-        # 3. match on the bucketed tables (sort-merge join, no exchange). Two join passes
-        #    in all: the matched rows (Inner) -> processed layout, and one full outer pass
-        #    that writes the unmatched table while the match stats are observed.
+        # 3. match on the bucketed tables (sort-merge join, no exchange). The join runs twice:
+        #    once for the matched rows (Inner) -> processed layout, and once as a full outer
+        #    pass that writes the unmatched table while the match stats are observed.
         out = matching.match(good_t, good_f)
         writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}")
         unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
@@ -129,13 +147,10 @@ def run_etl(
         res.report = spark.read.option("header", True).csv(f"{p.processed}/etl_report.csv")
         res.outputs["processed"] = f"{p.processed}/{feeds.PROCESSED_TABLE}"
     finally:
-        # The staged data stays below the checkpoint folder; only this run's catalog entries go.
-        for name in staged:
+        # This run's staged copies: catalog entries and folders.
+        for name, path in staged.items():
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-    if analytics:
-        res.outputs.update(run_from_processed(spark, output_root, weather, holidays, train_ml, ml_params).outputs)
-    return res
+            remove_path(spark, path)
 
 
 def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles: bool = False) -> dict[str, str]:
@@ -145,11 +160,11 @@ def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles:
     base = analytics_base(add_ymd(base_input))
     outs = {}
     ov_path = f"{analytics_root}/overview.json"
-    overview, stats = profile.overview_and_stats(base)  # one scan for both
-    writers.write_json_doc(overview, ov_path)
-    outs["overview"] = ov_path
+    seen, stats = profile.overview_and_stats(base)
     stats_path = f"{analytics_root}/numeric_stats"
-    writers.write_parquet(writers.one_partition(stats), stats_path)
+    writers.write_parquet(writers.one_partition(stats), stats_path)  # one scan fills the overview too
+    writers.write_json_doc(profile.overview_from_observation(base, seen), ov_path)
+    outs["overview"] = ov_path
     writers.write_csv(spark.read.parquet(stats_path), f"{analytics_root}/numeric_stats_csv", single_file=True)
     grouped_path = f"{analytics_root}/kpi_grouping_sets"
     writers.write_parquet(writers.one_partition(kpis.kpi_grouping_sets(base, exact=exact_percentiles)), grouped_path)
@@ -169,10 +184,17 @@ def run_questions(base_input: DataFrame, questions_root: str, weather: DataFrame
                   holidays: DataFrame | None = None) -> dict[str, str]:
     base = question_base(base_input, holidays=holidays, weather=weather)
     outs = {}
-    for name, df in questions.business_questions(base).items():
-        path = f"{questions_root}/{name}.csv"
-        writers.write_csv(df, path, single_file=True, sort_by=questions.SORT_KEYS.get(name))
-        outs[name] = path
+    months = scratch_dir(base_input.sparkSession, "months")
+    writers.write_parquet(writers.one_partition(questions.q4_vendor_mom(base)), months)  # an input of two questions
+    mom = base_input.sparkSession.read.parquet(months)
+    shared = {questions.MONTHS: mom, questions.STREAK: questions.q4_growth_streak(mom)}
+    try:
+        for name, df in (questions.business_questions(base) | shared).items():
+            path = f"{questions_root}/{name}.csv"
+            writers.write_csv(df, path, single_file=True, sort_by=questions.SORT_KEYS.get(name))
+            outs[name] = path
+    finally:
+        remove_path(base_input.sparkSession, months)
     return outs
 
 
@@ -187,6 +209,7 @@ def run_from_processed(
     p = Paths(output_root)
     res = RunResult()
     processed = feeds.load_processed(spark, p.processed)
+    show_input(processed, "processed trips")
     res.outputs.update(run_analytics(processed, p.analytics))
     res.outputs.update(run_questions(processed, p.questions, weather, holidays))
     if train_ml:
@@ -196,6 +219,13 @@ def run_from_processed(
     return res
 
 
+def show_input(df: DataFrame, name: str) -> None:
+    """Schema and first rows of an input, for the log of the run."""
+    print(name)
+    df.printSchema()
+    feeds.preview(df).show(truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description="Trip and fare ETL, analytics and models on Spark")
     ap.add_argument("--data-root", default=os.environ.get("DATA_ROOT", "/data/nyc"))
@@ -215,20 +245,24 @@ def main(argv: list[str] | None = None) -> int:
     p = Paths(args.output_root)
     status = 1
     try:
-        weather = feeds.load_or_prepare_weather(spark, p.processed, args.weather_path, refresh=args.refresh_weather)
+        weather = feeds.load_or_prepare_weather(spark, p.processed, args.weather_path, refresh=args.refresh_weather,
+                                                default_csv=f"{args.data_root.rstrip('/')}/{feeds.WEATHER_CSV}")
         if weather is None:
             print("weather: no prepared copy and no CSV; weather questions are skipped")
         if args.parquet_only:
             run_from_processed(spark, args.output_root, weather, train_ml=args.train_ml)
         else:
+            trips_path = feeds.trips_path(spark, args.trips, args.data_root, args.sample)
+            fares_path = feeds.fares_path(spark, args.fares, args.data_root, args.sample)
+            sizes = None
             if not args.no_autosize:
-                paths = [args.trips or os.path.join(args.data_root, feeds.TRIP_GLOB),
-                         args.fares or os.path.join(args.data_root, feeds.FARE_GLOB)]
-                width = size_for_input(spark, input_bytes(spark, paths))
-                print(f"shuffle width sized from input: {width}")
-            trips = feeds.load_trips(spark, args.trips, args.data_root, args.sample)
-            fares = feeds.load_fares(spark, args.fares, args.data_root, args.sample)
-            res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml)
+                current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                sizes = sizes_for(input_bytes(spark, [trips_path, fares_path]), current)
+                print(f"sized from input: {sizes}")
+            trips, fares = feeds.load_trips(spark, trips_path), feeds.load_fares(spark, fares_path)
+            show_input(trips, "trips")
+            show_input(fares, "fares")
+            res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml, sizes=sizes)
             res.report.show(truncate=False)
         status = 0
         print("completed successfully")

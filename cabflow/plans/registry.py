@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cabflow.functions import features as fx
-from cabflow.operators import enrich, matching, quality, questions
+from cabflow.operators import enrich, matching, quality, quantiles, questions
 from cabflow.plans import flow
 from cabflow.plans.oracle import FARE_COLS, FARE_VALS, MATCHED_COLS, TRIP_COLS, q, r
 from cabflow.schemas import KEY
@@ -55,19 +55,19 @@ TRIP_DOUBLES = ["trip_distance", "pickup_longitude", "pickup_latitude", "dropoff
 FARE_DOUBLES = ["fare_amount", "surcharge", "mta_tax", "tip_amount", "tolls_amount", "total_amount"]
 
 
-def _sel(cols: list[str], doubles: list[str] | None = None) -> str:
+def _sel(cols: list[str]) -> str:
     """Row-level outputs are not rounded: both engines compute them with the same IEEE ops."""
     return ", ".join(cols)
 
 
 # ---- cleaning -------------------------------------------------------------------------
 
-@register("dedup_trips", q(f"SELECT {_sel(TRIP_COLS, TRIP_DOUBLES)} FROM trips_dedup"))
+@register("dedup_trips", q(f"SELECT {_sel(TRIP_COLS)} FROM trips_dedup"))
 def dedup_trips(spark, sf):
     return (quality.dedup(flow.fixture_raw(spark, sf)[0]))
 
 
-@register("dedup_fares", q(f"SELECT {_sel(FARE_COLS, FARE_DOUBLES)} FROM fares_dedup"))
+@register("dedup_fares", q(f"SELECT {_sel(FARE_COLS)} FROM fares_dedup"))
 def dedup_fares(spark, sf):
     return (quality.dedup(flow.fixture_raw(spark, sf)[1]))
 
@@ -84,7 +84,7 @@ def fill_defaults(spark, sf):
 
 @register(
     "validate_trips",
-    q(f"SELECT {_sel(TRIP_COLS, TRIP_DOUBLES)}, rejection_reason FROM trips_tagged"),
+    q(f"SELECT {_sel(TRIP_COLS)}, rejection_reason FROM trips_tagged"),
 )
 def validate_trips(spark, sf):
     return (quality.validated_trips(flow.fixture_raw(spark, sf)[0]))
@@ -92,7 +92,7 @@ def validate_trips(spark, sf):
 
 @register(
     "validate_fares",
-    q(f"SELECT {_sel(FARE_COLS, FARE_DOUBLES)}, rejection_reason FROM fares_tagged"),
+    q(f"SELECT {_sel(FARE_COLS)}, rejection_reason FROM fares_tagged"),
 )
 def validate_fares(spark, sf):
     return (quality.validated_fares(flow.fixture_raw(spark, sf)[1]))
@@ -100,7 +100,7 @@ def validate_fares(spark, sf):
 
 @register(
     "quarantine_trips",
-    q(f"SELECT {_sel(TRIP_COLS, TRIP_DOUBLES)}, rejection_reason FROM trips_tagged WHERE rejection_reason <> 'VALID'"),
+    q(f"SELECT {_sel(TRIP_COLS)}, rejection_reason FROM trips_tagged WHERE rejection_reason <> 'VALID'"),
 )
 def quarantine_trips(spark, sf):
     return (flow.fixture_clean(spark, sf).bad_trips)
@@ -108,7 +108,7 @@ def quarantine_trips(spark, sf):
 
 @register(
     "quarantine_fares",
-    q(f"SELECT {_sel(FARE_COLS, FARE_DOUBLES)}, rejection_reason FROM fares_tagged WHERE rejection_reason <> 'VALID'"),
+    q(f"SELECT {_sel(FARE_COLS)}, rejection_reason FROM fares_tagged WHERE rejection_reason <> 'VALID'"),
 )
 def quarantine_fares(spark, sf):
     return (flow.fixture_clean(spark, sf).bad_fares)
@@ -154,17 +154,17 @@ def match_full_outer(spark, sf):
     )
 
 
-@register("match_inner", q(f"SELECT {_sel(MATCHED_COLS, _MATCHED_DOUBLES)} FROM matched"))
+@register("match_inner", q(f"SELECT {_sel(MATCHED_COLS)} FROM matched"))
 def match_inner(spark, sf):
     return (flow.fixture_matched(spark, sf))
 
 
-@register("match_trips_only", q(f"SELECT {_sel(TRIP_COLS, TRIP_DOUBLES)} FROM trips_only"))
+@register("match_trips_only", q(f"SELECT {_sel(TRIP_COLS)} FROM trips_only"))
 def match_trips_only(spark, sf):
     return (flow.fixture_match(spark, sf)[matching.TRIP_ONLY])
 
 
-@register("match_fares_only", q(f"SELECT {_sel(FARE_COLS, FARE_DOUBLES)} FROM fares_only"))
+@register("match_fares_only", q(f"SELECT {_sel(FARE_COLS)} FROM fares_only"))
 def match_fares_only(spark, sf):
     return (flow.fixture_match(spark, sf)[matching.FARE_ONLY])
 
@@ -189,7 +189,7 @@ _UNION_COLS = TRIP_COLS + ["source"] + FARE_VALS
 
 @register(
     "unmatched_union",
-    q(f"SELECT {_sel(_UNION_COLS, _MATCHED_DOUBLES)} FROM ("
+    q(f"SELECT {_sel(_UNION_COLS)} FROM ("
       f"SELECT {', '.join(TRIP_COLS)}, 'trip_data' AS source, {', '.join('NULL AS ' + c for c in FARE_VALS)} FROM trips_only "
       f"UNION ALL SELECT {', '.join(c if c in FARE_COLS else 'NULL AS ' + c for c in TRIP_COLS)}, 'fare_data', {', '.join(FARE_VALS)} FROM fares_only)"),
 )
@@ -222,7 +222,9 @@ def _feed_report_sql(tagged: str, source: str) -> str:
     return (
         f"SELECT '{source}' AS source, 'total_records' AS metric, CAST(sum(_rows) AS BIGINT) AS value, CAST(NULL AS DOUBLE) AS pct FROM {tagged} "
         f"UNION ALL SELECT '{source}', 'rejected_records', CAST(count(*) FILTER (WHERE rejection_reason <> 'VALID') AS BIGINT), "
-        f"round(coalesce(count(*) FILTER (WHERE rejection_reason <> 'VALID') * CAST(100 AS DOUBLE) / nullif(sum(_rows), 0), 0) * 1e6) / 1e6 FROM {tagged}"
+        f"round(coalesce(count(*) FILTER (WHERE rejection_reason <> 'VALID') * CAST(100 AS DOUBLE) / nullif(sum(_rows), 0), 0) * 1e6) / 1e6 FROM {tagged} "
+        f"UNION ALL SELECT '{source}', rejection_reason, count(*), round(count(*) * CAST(100 AS DOUBLE) / (SELECT sum(_rows) FROM {tagged}) * 1e6) / 1e6 "
+        f"FROM {tagged} WHERE rejection_reason <> 'VALID' GROUP BY rejection_reason"
     )
 
 
@@ -354,7 +356,18 @@ def _rank_pick(x: str, p: float) -> str:
       + r(_rank_pick("tip_amount", 0.5), "p50_tip") + ", count(*) AS trips FROM qbase GROUP BY ALL"),
 )
 def q2_tips(spark, sf):
-    return stable(questions.q2_tips(flow.fixture_question_base(spark, sf, weather=False)))
+    return stable(questions.q2_tips(flow.fixture_question_base(spark, sf, weather=False), exact=True))
+
+
+@register(
+    "q2_tips_approx",
+    q("SELECT payment_type, passenger_count, day_part, TRUE AS p50_tip FROM qbase WHERE tip_amount IS NOT NULL GROUP BY ALL"),
+)
+def q2_tips_approx(spark, sf):
+    """The median that the job writes is within the rank bound of the sketch."""
+    base = flow.fixture_question_base(spark, sf, weather=False)
+    return quantiles.rank_bounds_hold(
+        base, questions.TIP_GROUPS, "tip_amount", questions.q2_tips(base), [0.5], ["p50_tip"], questions.PERCENTILE_ACCURACY)
 
 
 @register(
@@ -482,9 +495,19 @@ def kpi_grouping_sets(spark, sf):
     return stable(kpis.kpi_grouping_sets(flow.fixture_analytics_base(spark, sf), exact=True))
 
 
-@register("kpi_grouping_sets_approx")
+@register(
+    "kpi_grouping_sets_approx",
+    q(" UNION ALL ".join(
+        f"SELECT '{n}' AS segment, " + ", ".join(c if c in cols else f"NULL AS {c}" for c in _KPI_ALL_COLS)
+        + f", TRUE AS p50_total_amount, TRUE AS p95_total_amount FROM abase WHERE total_amount IS NOT NULL GROUP BY {', '.join(cols)}"
+        for n, cols in _KPI_SEGMENTS_SQL)),
+)
 def kpi_grouping_sets_approx(spark, sf):
-    return stable(kpis.kpi_grouping_sets(flow.fixture_analytics_base(spark, sf)))
+    """The percentiles that the job writes are within the rank bound of the sketch."""
+    base = flow.fixture_analytics_base(spark, sf)
+    rows, keys = kpis.segment_rows(base)
+    names, probs = zip(*kpis.PERCENTILES, strict=True)
+    return quantiles.rank_bounds_hold(rows, keys, "total_amount", kpis.kpi_grouping_sets(base), probs, names, kpis.PERCENTILE_ACCURACY)
 
 
 # ---- profile ---------------------------------------------------------------------------------
@@ -509,7 +532,11 @@ _SCHEMA_JSON = "[" + ",".join('{"name":"%s","type":"%s"}' % nt for nt in _ABASE_
       "min(pickup_datetime) AS min_pickup_datetime, max(pickup_datetime) AS max_pickup_datetime FROM abase"),
 )
 def profile_overview(spark, sf):
-    return profile.overview(flow.fixture_analytics_base(spark, sf))
+    """The document that the job writes, its schema list as JSON text."""
+    doc = profile.overview_document(flow.fixture_analytics_base(spark, sf))
+    return doc.select("row_count", "num_columns", F.to_json("schema").alias("schema_json"),
+                      F.col("min_pickup_datetime").cast("timestamp_ntz").alias("min_pickup_datetime"),
+                      F.col("max_pickup_datetime").cast("timestamp_ntz").alias("max_pickup_datetime"))
 
 
 # Oracle-side list of profiled columns.
@@ -545,9 +572,17 @@ def profile_quantiles_exact(spark, sf):
     return stable(profile.exact_quantiles(flow.fixture_analytics_base(spark, sf)))
 
 
-@register("profile_quantiles_approx")
+@register(
+    "profile_quantiles_approx",
+    q(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", " + ", ".join(f"TRUE AS {n}" for n, _ in _QP)
+                         + f" FROM abase HAVING count({c}) > 0" for c in _PROFILE_COLS_SQL)),
+)
 def profile_quantiles_approx(spark, sf):
-    return profile.numeric_stats(flow.fixture_analytics_base(spark, sf)).select("column", "p01", "p05", "p50", "p95", "p99")
+    """The quantiles that the job writes are within the rank bound of the sketch."""
+    base = flow.fixture_analytics_base(spark, sf)
+    accuracy = int(round(1 / profile.QUANTILE_REL_ERROR))
+    return quantiles.rank_bounds_hold(profile.stacked(base), ["column"], "v", profile.numeric_stats(base),
+                                      profile.QUANTILE_PROBS, profile.QUANTILE_NAMES, accuracy)
 
 
 def _fmt_sql(expr: str, kind: str) -> str:
@@ -595,12 +630,12 @@ def kpi_summary_long(spark, sf):
     base = flow.fixture_analytics_base(spark, sf)
     stats = profile.numeric_stats(base, quantiles=False).drop("p01", "p05", "p50", "p95", "p99")
     numeric = stats.join(profile.exact_quantiles(base), "column")
-    return kpis.kpi_summary_long(profile.overview(base), numeric, kpis.kpi_grouping_sets(base, exact=True))
+    return kpis.kpi_summary_long(profile.overview_document(base), numeric, kpis.kpi_grouping_sets(base, exact=True))
 
 
 # ---- sources -----------------------------------------------------------------------------------
 
-from cabflow.session import scratch_dir  # noqa: E402
+from cabflow.session import remove_path, scratch_dir  # noqa: E402
 from cabflow.sinks import writers  # noqa: E402
 from cabflow.sources import dims, feeds, fixtures  # noqa: E402
 
@@ -654,6 +689,11 @@ def preview_trips(spark, sf):
     return feeds.preview(fixtures.trips_raw(spark, sf))
 
 
+@register("preview_fares")
+def preview_fares(spark, sf):
+    return feeds.preview(fixtures.fares_raw(spark, sf))
+
+
 # ---- ML -----------------------------------------------------------------------------------------
 
 from cabflow.operators import ml  # noqa: E402
@@ -708,11 +748,6 @@ def ml_split(spark, sf):
             .groupBy("part").agg(F.count(F.lit(1)).alias("trips")))
 
 
-@register("ml_row_cap")
-def ml_row_cap(spark, sf):
-    return ml.cap_rows(_ml_data(spark, sf)).select(*KEY, "is_high_traffic")
-
-
 # Fixed formula predictions so the metric aggregates have an exact SQL twin.
 _FIXED_REG = "2.5 + 2.0 * haversine_distance"
 _FIXED_CLS = "CASE WHEN haversine_distance < 2.0 THEN 1.0 ELSE 0.0 END"
@@ -721,7 +756,7 @@ _FIXED_CLS = "CASE WHEN haversine_distance < 2.0 THEN 1.0 ELSE 0.0 END"
 @register(
     "ml_metrics_regression",
     q("SELECT " + r("sqrt(avg((p - y) * (p - y)))", "RMSE") + ", " + r("avg(abs(p - y))", "MAE") + ", "
-      + r("1 - sum((p - y) * (p - y)) / (sum(y * y) - sum(y) * sum(y) / count(*))", "R2")
+      + r("1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))", "R2")
       + f" FROM (SELECT total_amount AS y, 2.5 + 2.0 * hav AS p FROM {_MLFEAT} WHERE bucket >= 8)"),
 )
 def ml_metrics_regression(spark, sf):
@@ -749,11 +784,11 @@ def ml_metrics_classification(spark, sf):
 
 def _model_query(task: str, model: str):
     def run(spark, sf):
-        data = ml.stage_training_table(_ml_data(spark, sf))
+        path = scratch_dir(spark, "ml-features")
         try:
-            return ml.train_evaluate(data, task, models=[model])
+            return ml.train_evaluate(ml.stage_training_table(_ml_data(spark, sf), path), task, models=[model])
         finally:
-            data.unpersist()
+            remove_path(spark, path)
 
     return run
 

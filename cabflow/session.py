@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -53,27 +56,41 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; set a private one only if none is configured."""
-    root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's checkpoint folder (``spark.checkpoint.dir``). Where none is configured a private
+    one is made, but only for a local master: on a cluster a machine-local folder would leave
+    parts of a table on machines that others cannot read."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cabflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the checkpoint folder for one staged table."""
-    root = checkpoint_root(spark).rstrip("/")
+def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh, unique path below the checkpoint folder (or ``root``) for one staged table."""
+    root = (root or checkpoint_root(spark)).rstrip("/")
     return f"{root}/cabflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# Target bytes of input per shuffle partition when the job sizes itself from its input.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run wrote, on whatever file system it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+# Target bytes of input per shuffle partition when the job sizes itself from its input. Beyond
+# ``MAX_WIDTH`` partitions their size grows instead: the bookkeeping of a shuffle is the product
+# of its two sides, and Spark takes at most 100,000 buckets.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_WIDTH = 50_000
+# Staged tables: larger files, fewer of them.
+TARGET_BUCKET_BYTES = 1024 * 1024 * 1024
+MAX_BUCKETS = 50_000
+MAX_SPLIT_BYTES = 1024 * 1024 * 1024
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -90,14 +107,37 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
-def size_for_input(spark: SparkSession, nbytes: int, target: int = TARGET_PARTITION_BYTES) -> int:
-    """Set the shuffle width to about one partition per ``target`` bytes of input (never
-    below the configured value) and read files in ``target``-sized splits. The width also
-    sets the staging bucket count and the processed-write width, so files stay near
-    ``target`` at any scale; AQE still coalesces small shuffle partitions at run time.
-    Returns the width in use."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(current, -(-nbytes // target))
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target))
-    return width
+@dataclass(frozen=True)
+class Sizes:
+    width: int  # shuffle partitions
+    buckets: int  # of the staged feeds
+    split_bytes: int  # of an input split
+
+
+def sizes_for(nbytes: int, current: int) -> Sizes:
+    """Shuffle width, bucket count and split size for that much input; never below ``current``
+    partitions, never more than Spark or its bookkeeping takes."""
+    width = min(max(current, -(-nbytes // TARGET_PARTITION_BYTES)), max(current, MAX_WIDTH))
+    buckets = min(max(current, -(-nbytes // TARGET_BUCKET_BYTES)), MAX_BUCKETS)
+    split = min(max(TARGET_PARTITION_BYTES, -(-nbytes // MAX_WIDTH)), MAX_SPLIT_BYTES)
+    return Sizes(width, buckets, split)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, sizes: Sizes | None) -> Iterator[None]:
+    """Run a block with these settings, and restore the session's own after it."""
+    if sizes is None:
+        yield
+        return
+    wanted = {
+        "spark.sql.shuffle.partitions": str(sizes.width),
+        "spark.sql.files.maxPartitionBytes": str(sizes.split_bytes),
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -1,9 +1,8 @@
 """Writers. Large outputs are written by many tasks; only already-aggregated results
 are collapsed to one file.
 
-* processed trips: ``year/month/day`` Parquet, dynamic partition overwrite, range-
-  partitioned on (year, month, day, pickup) first so a hot day is split over several
-  tasks and files while a normal day stays in one or few files;
+* processed trips: ``year/month/day`` Parquet, dynamic partition overwrite, dealt by hash of
+  the day and a salt, so a hot day is split over several tasks and files;
 * quarantine / unmatched: CSV written in parallel (no ``coalesce(1)``, which would pull
   the whole join into one task);
 * small results (questions, KPIs, metrics): one CSV file each.
@@ -15,20 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.operators.enrich import add_ymd
+from cabflow.schemas import KEY
 
 PARTITION_COLS = ["year", "month", "day"]
 
 
-def write_processed(df: DataFrame, path: str, num_partitions: int | None = None) -> None:
+# Pieces that a day's rows are dealt to, at most one per task of the shuffle.
+DAY_PIECES = 64
+
+
+def write_processed(df: DataFrame, path: str, num_partitions: int | None = None, day_pieces: int = DAY_PIECES) -> None:
     """Matched trips -> Parquet partitioned by pickup ``year, month, day`` (overwrite with
-    dynamic partition mode: only the days present in ``df`` are replaced)."""
+    dynamic partition mode: only the days present in ``df`` are replaced).
+
+    Rows are dealt by hash of the day and a salt from the key, so ``df`` (the match) is computed
+    once: a range partitioning would run it once more to sample it. A hot day goes to up to
+    ``day_pieces`` tasks, and has at most that many files."""
     spark = df.sparkSession
     out = add_ymd(df)
-    sort_cols = [*PARTITION_COLS, "pickup_datetime"]
-    # An explicit count keeps AQE from collapsing the writers into one task; at scale the
-    # shuffle width is sized to the data, so files stay near the target size.
+    # An explicit count keeps AQE from collapsing the writers into one task.
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartitionByRange(n, *sort_cols)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.lit(max(1, min(day_pieces, n))))
+    out = out.repartition(n, *PARTITION_COLS, salt).sortWithinPartitions(*PARTITION_COLS, "pickup_datetime")
     # Per-write option: only this write uses dynamic overwrite, the session is left alone.
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path)
 

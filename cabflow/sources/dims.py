@@ -24,7 +24,8 @@ US_FEDERAL_HOLIDAYS: list[tuple[str, int, int | None, int]] = [
 ]
 
 
-def _holiday_name(d: Column) -> Column:
+def holiday_name(d: Column) -> Column:
+    """Name of the federal holiday on a date, or NULL."""
     m, dom, dow = F.month(d), F.dayofmonth(d), F.dayofweek(d)
     nth = F.floor((dom - 1) / 7) + 1
     is_last = F.dayofmonth(F.last_day(d)) - dom < 7
@@ -42,7 +43,7 @@ def _holiday_name(d: Column) -> Column:
 
 def holidays_from_days(days: DataFrame, date_col: str = "date") -> DataFrame:
     """Keep the holiday rows of a one-column table of dates: ``date, is_holiday, holiday_name``."""
-    named = days.select(F.col(date_col).alias("date")).withColumn("holiday_name", _holiday_name(F.col("date")))
+    named = days.select(F.col(date_col).alias("date")).withColumn("holiday_name", holiday_name(F.col("date")))
     return named.filter(F.col("holiday_name").isNotNull()).select(
         "date", F.lit(1).alias("is_holiday"), "holiday_name"
     )

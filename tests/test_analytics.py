@@ -60,7 +60,7 @@ def test_exact_quantiles_match_numpy(spark):
     rows = [("a" if i % 3 else None, float(v)) for i, v in enumerate(vals)] + [("empty", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.01, 0.5, 0.95, 1.0]
-    out = {r["g"]: r for r in grouped_exact_quantiles(df, ["g"], "v", probs, ["a", "b", "c", "d"], num_partitions=5).collect()}
+    out = {r["g"]: r for r in grouped_exact_quantiles(df, ["g"], "v", probs, ["a", "b", "c", "d"]).collect()}
     assert "empty" not in out
     for g in ("a", None):
         xs = np.sort([v for gg, v in rows if gg == g and v is not None])
@@ -90,20 +90,72 @@ def test_overview_document_json(spark, abase, tmp_path):
     assert doc["min_pickup_datetime"] <= doc["max_pickup_datetime"]
 
 
-def test_hot_group_spreads_over_partitions(spark):
-    """A group with a third of the rows - and one value repeated in it - must not land in
-    one task: the (group, value, row hash) range partitioning splits it."""
-    from pyspark.sql import functions as F
-
-    n = 30000
+def test_exact_quantiles_need_no_exchange_reuse(spark):
+    """The same answer with exchange reuse on and off, for a hot group, a hot value and groups
+    larger than the sketch is exact for."""
+    n = 60000
     df = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),
-        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") % 997).cast("double")).alias("v"),
-        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
+        F.when(F.col("id") % 9 == 0, F.lit(7.0)).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**6)) / 7).alias("v"),
     )
-    parts = (df.select("g", "v", F.xxhash64("g", "v", "id").alias("tb"))
-             .repartitionByRange(12, "g", "v", "tb")
-             .filter(F.col("g") == "hot").select(F.spark_partition_id().alias("p")).distinct().count())
-    assert parts > 1
-    out = grouped_exact_quantiles(df, ["g"], "v", [0.5], ["p50"], num_partitions=12).filter("g = 'hot'").first()
-    assert out["p50"] == 7.0
+    values = {}
+    for r in df.collect():
+        values.setdefault(r.g, []).append(r.v)
+    probs, names = [0.0, 0.01, 0.5, 0.95, 0.99, 1.0], list("abcdef")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = {r.g: r for r in grouped_exact_quantiles(df, ["g"], "v", probs, names).collect()}
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert got.keys() == values.keys()
+        for g, xs in values.items():
+            xs = sorted(xs)
+            assert [got[g][m] for m in names] == [xs[max(1, int(np.ceil(p * len(xs)))) - 1] for p in probs], (g, reuse)
+
+
+def test_rank_bounds_tell_good_from_bad(spark):
+    from cabflow.operators.quantiles import rank_bounds_hold
+
+    df = spark.range(20000).select(F.lit("x").alias("g"), F.col("id").cast("double").alias("v"))
+    for value, holds in ((9999.0, True), (9800.0, True), (9700.0, False), (10300.0, False)):
+        told = spark.createDataFrame([("x", value)], "g string, p double")
+        assert rank_bounds_hold(df, ["g"], "v", told, [0.5], ["p"], 100).first()["p"] == holds
+
+
+def test_summary_is_one_pass_over_the_segments(spark, abase):
+    grouped = kpis.kpi_grouping_sets(abase)
+    numeric = profile.numeric_stats(abase)
+    plan = kpis.kpi_summary_long(profile.overview_document(abase), numeric, grouped)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand [") == 1
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    from cabflow.sources import fixtures
+
+    tracker = spark.sparkContext.statusTracker()
+    m, w, trips = flow.fixture_matched(spark, SF001), flow.fixture_weather(spark, SF001), fixtures.trips_raw(spark, SF001)
+    spark.sparkContext.setJobGroup("plans", "plans")
+    questions.business_questions(flow.question_base(m, weather=w))
+    flow.question_base(m, holidays=flow_holidays(trips))
+    assert not tracker.getJobIdsForGroup("plans")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def flow_holidays(trips):
+    from cabflow.sources.dims import holidays_covering
+
+    return holidays_covering(trips)
+
+
+def test_holiday_flag_has_no_year_limit(spark):
+    from cabflow.operators.enrich import add_holidays
+
+    df = spark.sql("SELECT explode(array(timestamp'1850-07-04 10:00:00', timestamp'2350-12-25 00:00:00', timestamp'2350-12-24 00:00:00', NULL)) AS pickup_datetime")
+    assert [r.is_holiday for r in add_holidays(df).collect()] == [1, 1, 0, 0]
+
+
+def test_overview_is_observed_on_the_stats_scan(spark, abase):
+    seen, stats = profile.overview_and_stats(abase)
+    assert stats.count() == len(profile.numeric_columns(abase))
+    assert profile.overview_from_observation(abase, seen).first() == profile.overview_document(abase).first()

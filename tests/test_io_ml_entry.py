@@ -92,23 +92,44 @@ def test_same_result_at_1_and_8_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", prev)
 
 
-def test_cap_rows_is_distributed_and_whole_below_cap(spark):
-    df = spark.range(10000).selectExpr("CAST(id AS STRING) AS medallion", "'H' AS hack_license", "'CMT' AS vendor_id",
-                                       "TIMESTAMP '2013-01-01 00:00:00' AS pickup_datetime")
-    assert ml.cap_rows(df, 20000).count() == 10000
-    capped = ml.cap_rows(df, 2000)
-    assert 1700 < capped.count() < 2300
-    assert "SinglePartition" not in capped._jdf.queryExecution().executedPlan().toString()
+def test_run_ml_fits_and_evaluates_every_row(spark, tmp_out, monkeypatch):
+    """All six models through ``run_ml``, in a session that has used ``observe``; the staged table
+    holds every plausible row, the metrics come from every test row, and nothing is left behind."""
+    from pyspark.sql import Observation
 
+    from cabflow.session import checkpoint_root
 
-def test_sample_mode_picks_one_file(tmp_out):
+    spark.range(3).observe(Observation("any"), F.count(F.lit(1)).alias("n")).collect()
+
+    assert not [n for n in vars(ml) if "MAX" in n or "cap" in n.lower()]
+    staged = []
+    real = ml.stage_training_table
+    monkeypatch.setattr(ml, "stage_training_table", lambda df, path: staged.append((real(df, path).count(), path)) or real(df, path))
+    m = flow.fixture_matched(spark, SF001)
+    small = ml.ModelParams(lr_max_iter=5, rf_trees=3, rf_depth=3, gbt_iter=2, gbt_depth=2, logr_max_iter=5)
+    rows = ml.run_ml(m, output_path=tmp_out, params=small).collect()
+    want = ml.prepare_features(m)
+    assert staged[0][0] == want.count()
+    assert checkpoint_root(spark) and not os.path.exists(staged[0][1])
+    got = {(r.task, r.model, r.metric): r.value for r in rows}
+    assert len(got) == 3 * 3 + 3 * 4
+    assert all(0 <= v <= 1 for (task, _, _), v in got.items() if task == "classification")
+    assert {m for t, m, _ in got if t == "classification"} == set(ml.classifiers(small))
+    assert sorted(os.listdir(f"{tmp_out}/classification")) == sorted(ml.classifiers(small))
+
+
+def test_sample_mode_picks_one_file(spark, tmp_out):
     d = f"{tmp_out}/tripData2013"
     os.makedirs(d)
     for n in ("trip_data_2.csv", "trip_data_10.csv", "other.csv"):
         open(f"{d}/{n}", "w").close()
-    assert feeds._one_file(d, "trip_data_", "trip_data_1.csv").endswith("trip_data_10.csv")
+    assert feeds.trips_path(spark, data_root=tmp_out, sample=True).endswith("/trip_data_10.csv")
     open(f"{d}/trip_data_1.csv", "w").close()
-    assert feeds._one_file(d, "trip_data_", "trip_data_1.csv").endswith("trip_data_1.csv")
+    assert feeds.trips_path(spark, data_root=f"file:{tmp_out}", sample=True).endswith("/trip_data_1.csv")
+    assert feeds.trips_path(spark, f"{d}/trip_data_2*.csv", sample=True).endswith("/trip_data_2.csv")
+    assert feeds.trips_path(spark, data_root=tmp_out) == f"{tmp_out}/{feeds.TRIP_GLOB}"
+    with __import__("pytest").raises(FileNotFoundError):
+        feeds.fares_path(spark, data_root=tmp_out, sample=True)
 
 
 def test_questions_written_in_order(spark, tmp_out):
@@ -138,18 +159,90 @@ def test_job_end_to_end_small(spark, tmp_out):
     assert os.path.isdir(f"{q}/q1_hourly_weekday_weekend.csv")
 
 
-def test_size_for_input(spark, tmp_out):
-    from cabflow.session import input_bytes, size_for_input
+def test_job_with_weather_and_ml_and_both_cli_modes(spark, tmp_out, monkeypatch, capsys):
+    from cabflow.plans import job
+    from cabflow.sources import fixtures
+
+    data, out = f"{tmp_out}/in", f"{tmp_out}/out"
+    writers.write_csv(fixtures.trips_raw(spark, SF001), f"{data}/tripData2013/trip_data_1.csv")
+    writers.write_csv(fixtures.fares_raw(spark, SF001), f"{data}/faredata2013/trip_fare_1.csv")
+    writers.write_csv(fixtures.weather_csv_frame(spark, SF001), f"{data}/{feeds.WEATHER_CSV}")
+    monkeypatch.setattr(job, "build_session", lambda name: spark)
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    small = ml.ModelParams(lr_max_iter=3, rf_trees=2, rf_depth=2, gbt_iter=1, gbt_depth=2, logr_max_iter=3)
+    monkeypatch.setattr(ml.ModelParams, "__init__", lambda self: self.__dict__.update(small.__dict__))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    assert job.main(["--data-root", data, "--output-root", out, "--train-ml"]) == 0
+    p = job.Paths(out)
+    report = {(r.source, r.metric): r.value for r in spark.read.option("header", True).csv(f"{p.processed}/etl_report.csv").collect()}
+    assert any(s == "trips" and m not in ("total_records", "rejected_records") for s, m in report)  # reasons
+    assert spark.read.option("header", True).csv(f"{p.models}/metrics").count() == 21
+    weather = [f"{p.questions}/{n}.csv" for n in ("q5_weather_by_condition_hour", "q5_weather_by_precip_wind_hour")]
+    first = [sorted(map(tuple, spark.read.csv(w).collect())) for w in weather]
+    assert all(len(x) > 1 for x in first)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == width
+    assert not [f for _, _, files in os.walk(p.staging) for f in files]
+    assert job.main(["--output-root", out, "--data-root", data, "--parquet-only"]) == 0
+    assert [sorted(map(tuple, spark.read.csv(w).collect())) for w in weather] == first
+    shown = capsys.readouterr().out
+    assert "fares" in shown and "processed trips" in shown and "|-- medallion" in shown
+
+
+def test_match_runs_once_for_the_processed_write(spark, tmp_out):
+    """The rows written come from one execution of their source: no sampling pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    m = flow.fixture_matched(spark, SF001)
+    writers.write_processed(m.mapInArrow(count, m.schema), f"{tmp_out}/p", num_partitions=8)
+    back = spark.read.parquet(f"{tmp_out}/p")
+    assert seen.value == back.count() == m.count()
+    # a single hot day is written by several tasks
+    hot = m.withColumn("pickup_datetime", F.lit("2013-05-01 10:00:00").cast("timestamp"))
+    writers.write_processed(hot, f"{tmp_out}/hot", num_partitions=8)
+    (day,) = [d for d, _, files in os.walk(f"{tmp_out}/hot") if d.endswith("day=1")]
+    assert 3 <= len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 8
+
+
+def test_sizes_hold_at_any_input(spark, tmp_out):
+    from cabflow.session import input_bytes, sized_for, sizes_for
 
     for i in range(3):
         with open(f"{tmp_out}/f{i}.csv", "w") as f:
             f.write("x" * 1000)
     assert input_bytes(spark, [f"{tmp_out}/f*.csv"]) == 3000
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    prev_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        assert size_for_input(spark, 10 * 2**40) == 40960  # 10 TiB / 256 MiB
-        assert size_for_input(spark, 1000) == 40960  # never below what is configured
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
-        spark.conf.set("spark.sql.files.maxPartitionBytes", prev_split)
+    assert sizes_for(1000, 96).width == 96  # never below what is configured
+    assert sizes_for(10 * 2**40, 96).width == 40960  # 10 TiB / 256 MiB
+    for nbytes in (100 * 10**12, 10**15):
+        s = sizes_for(nbytes, 96)
+        assert s.buckets < 100_000 and s.width < 100_000 and s.split_bytes <= 2**30
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_for(spark, sizes_for(10**12, 4)):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 3726
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+
+    from cabflow.session import checkpoint_root
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())

@@ -38,9 +38,9 @@ def main() -> None:
     trips, fares = flow.fixture_raw(spark, sf)
     show("Dedup + validation of the trip feed (aggregate with map-side partial)",
          quality.validated_trips(trips, multiplicity=quality.MULTIPLICITY))
-    staged: list[str] = []
-    tt = job.stage_bucketed(quality.validated_trips(trips, multiplicity=quality.MULTIPLICITY), "tt", 8, staged)
-    tf = job.stage_bucketed(quality.validated_fares(fares, multiplicity=quality.MULTIPLICITY), "tf", 8, staged)
+    staged: dict[str, str] = {}
+    tt = job.stage_bucketed(quality.validated_trips(trips, multiplicity=quality.MULTIPLICITY), "tt", 8, root, staged)
+    tf = job.stage_bucketed(quality.validated_fares(fares, multiplicity=quality.MULTIPLICITY), "tf", 8, root, staged)
     gt, _ = quality.split(tt)
     gf, _ = quality.split(tf)
     out = matching.match(gt, gf)
@@ -55,15 +55,15 @@ def main() -> None:
     w = feeds.load_or_prepare_weather(spark, f"{root}/processed", None) or flow.fixture_weather(spark, sf)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     base = question_base(p, weather=w)
-    show("Q1 on the processed layout (pruned scan, pushed range filter, broadcast holiday join)",
+    show("Q1 on the processed layout (pruned scan, pushed range filter, holiday flag as an expression)",
          questions.q1_hourly_weekend(base))
-    show("Q5a (broadcast weather after one-row-per-hour aggregate, size-checked)", questions.q5_condition_hour(base))
+    show("Q5a (broadcast weather after one-row-per-hour aggregate)", questions.q5_condition_hour(base))
     show("Q4b growth streak (windows over the vendor-month aggregate)",
          questions.q4_growth_streak(questions.q4_vendor_mom(base)))
     ab = analytics_base(add_ymd(p))
     show("KPI GROUPING SETS: six segmentations, one scan, one shuffle", kpis.kpi_grouping_sets(ab))
     show("Numeric stats: stacked narrow aggregate", profile.numeric_stats(ab))
-    show("Exact quantiles: range partition + rank offsets + pick join", profile.exact_quantiles(ab))
+    show("Exact quantiles: sketch brackets + counts", profile.exact_quantiles(ab))
     for name in staged:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
