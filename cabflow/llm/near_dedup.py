@@ -3,8 +3,9 @@
 A text is the sequence of its 5-word shingles (lower-case words; a text of fewer words is one
 shingle). Shingles are labelled by occurrence (the second "a b c d e" is another k-mer than the
 first). Each of ``REPEATS`` sketches hashes all labelled k-mers and keeps the ``SAMPLED`` smallest
-*in text order*; texts that share one sketch are candidates. So candidates share k-mers in the
-same order, as texts of small edit distance do.
+*in text order*; texts that share ``COMMON`` sketches are candidates. So candidates share k-mers in
+the same order, as texts of small edit distance do. (Of texts at the threshold, a sketch is shared
+with a probability of about 0.41; fewer than three of 24 are, once in 2,000 pairs.)
 
 Candidates are verified by aligning the two shingle sequences inside the band that the threshold
 leaves: with M aligned shingles out of a and b, the similarity is M / (a + b - M), and 0.8 or more
@@ -12,12 +13,14 @@ is a link. For texts of unique shingles in one order it is the Jaccard similarit
 
 A bucket (texts with one sketch) is not expanded into all its pairs:
 
-1. Equal texts are one node. Every member of a bucket is aligned with the bucket's first node, and the
+1. Equal texts are one node. Every member of a bucket is compared with the bucket's first node, and the
    links give classes (connected components, by alternating large-star and small-star steps).
 2. In a bucket with several classes left, members outside its main class take turns as pivots, a
-   few at a time, and are aligned with all members of other classes, until every pair of members
-   is in one class or has been aligned. So no candidate link between different texts is lost, whatever
-   the size of a bucket, and a group of copies costs as many alignments as it has members.
+   few at a time (``PIVOTS``), and are compared with all members of other classes, until every pair of
+   members is in one class or has been compared. So no candidate link between different texts is
+   lost, whatever the size of a bucket, and a group of copies costs as many alignments as it has
+   members. To compare is first to look at the sizes and the sketches, and to align the texts of
+   candidates only.
 
 All tables (sketches, pairs, links, classes) are Spark tables, staged in the shared folder.
 
@@ -28,6 +31,7 @@ an id are documents of their own; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +43,12 @@ from cabflow.llm import common
 from cabflow.llm import kernels as k
 
 SHINGLE = 5
-REPEATS, SAMPLED = 16, 3
+REPEATS, SAMPLED, COMMON = 24, 4, 3
 #: The threshold as a fraction, 8 / 10.
 NEAR, OF = 8, 10
-#: Pivots of one bucket in one round.
-PIVOTS = 8
+#: Pivots of one bucket in one round, at most: few at first, as most of a large group joins its main
+#: class through them, and more for what is left; the last number holds for all further rounds.
+PIVOTS = (2, 4, 16, 64, 256)
 SKETCH = "doc_id long, node binary, n long, sketches array<long>"
 
 
@@ -195,47 +200,55 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _candidates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b) each once, those whose sizes and sketches leave a link possible."""
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    a, b = (sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketches").alias(f"s_{x}")) for x in "ab")
+    near = (F.col("n_a") * OF >= F.col("n_b") * NEAR) & (F.col("n_b") * OF >= F.col("n_a") * NEAR)
+    alike = F.size(F.array_intersect("s_a", "s_b")) >= COMMON
+    return common.stage(once.join(a, "a").join(b, "b").filter(near & alike).select("a", "b"), "pairs")
 
 
 def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
-    """(node, label) of the nodes that are linked to another node. ``sketches``: one row per node;
-    ``documents``: node and text of every document."""
+    """(node, label) of the nodes that share a sketch with another node. ``sketches``: one row per
+    node, staged; ``documents``: node and text of every document."""
     members = sketches.select("node", "n", F.explode("sketches").alias("bucket"))
     pivot = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = common.stage(members.join(pivot, "bucket").drop("size"), "buckets")
-    near = (F.col("n") * OF >= F.col("m") * NEAR) & (F.col("m") * OF >= F.col("n") * NEAR)
-
-    first = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    sizes = sketches.select("node", "n")
-    first = first.join(sizes.toDF("a", "m"), "a").join(sizes.toDF("b", "n"), "b").filter(near).select("a", "b")
-    first = common.stage(first, "pairs")
     wanted = members.select("node").distinct()
+    own = common.stage(sketches.join(wanted, "node"), "sketches")
     texts = common.stage(documents.join(wanted, "node").dropDuplicates(["node"]), "candidates")
-    links = common.stage(verified(first, texts), "links")
-    done = _ordered(first)
+    labels = own.select("node", F.col("node").alias("label"))
+
+    pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     turned = members.select("bucket", F.col("pivot").alias("node")).distinct()  # who has been a pivot where
-    while True:
-        labels = common.stage(components(links), "labels")
-        of = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    for round_ in itertools.count():
+        links = common.stage(verified(_candidates(pairs, own), texts), "links")
+        if not links.isEmpty():
+            # Contract: only the labels that the new links join go through the components.
+            ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"l_{x}")) for x in "ab"]
+            edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("l_a").alias("a"), F.col("l_b").alias("b"))
+            merged = components(edges).toDF("label", "root")
+            labels = labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+            labels = common.stage(labels, "labels")
+        of = members.join(labels, "node")
         counts = of.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         main = counts.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("classes"))
-        open_ = of.join(main.filter("classes > 1").drop("classes"), "bucket").drop("pivot")
-        waiting = open_.filter("label <> main").join(turned, ["bucket", "node"], "left_anti")
+        open_ = common.stage(of.join(main.filter("classes > 1").drop("classes"), "bucket"), "open")
         turn = common.stage(
-            waiting.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot"))
+            open_.filter("label <> main")
+            .join(turned, ["bucket", "node"], "left_anti")
+            .groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(PIVOTS[min(round_, len(PIVOTS) - 1)])).alias("slot"))
             .agg(F.min(F.struct("node", "label", "n")).alias("p"))
             .select("bucket", F.col("p.node").alias("a"), F.col("p.label").alias("other"), F.col("p.n").alias("m")),
             "pivots",
         )
         if turn.isEmpty():
             return labels
-        pairs = open_.join(turn, "bucket").filter(near & (F.col("label") != F.col("other"))).select("a", F.col("node").alias("b"))
-        pairs = common.stage(_ordered(pairs).join(done, ["a", "b"], "left_anti"), "pairs")
-        links = common.stage(links.unionByName(verified(pairs, texts)), "links")
-        done = common.stage(done.unionByName(pairs), "done")
-        turned = common.stage(turned.unionByName(turn.select("bucket", F.col("a").alias("node"))), "turned")
+        near = (F.col("n") * OF >= F.col("m") * NEAR) & (F.col("m") * OF >= F.col("n") * NEAR)
+        pairs = open_.join(turn, "bucket").filter(near & (F.col("label") != F.col("other")) & (F.col("node") != F.col("pivot")))
+        pairs = pairs.select("a", F.col("node").alias("b"))
+        turned = turned.unionByName(turn.select("bucket", F.col("a").alias("node")))
 
 
 def node_of(text) -> F.Column:
@@ -250,7 +263,7 @@ def find_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     every = common.stage(documents.mapInArrow(_sketcher, SKETCH), "sketches")
     # One row per distinct text: the sketches are the same for all its copies.
     nodes = every.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    one = every.join(nodes, ["node", "doc_id"]).dropDuplicates(["node"])
+    one = common.stage(every.join(nodes, ["node", "doc_id"]).dropDuplicates(["node"]).drop("doc_id"), "nodes")
     labels = link_classes(one, documents.select("node", "text"))
     named = every.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
