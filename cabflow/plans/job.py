@@ -136,7 +136,8 @@ def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fa
         #    once for the matched rows (Inner) -> processed layout, and once as a full outer
         #    pass that writes the unmatched table while the match stats are observed.
         out = matching.match(good_t, good_f)
-        writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}")
+        writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}",
+                                pieces=writers.day_pieces(good_t))
         unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
         writers.write_csv(unmatched, f"{p.quarantine}/unmatched_data.csv")
         match_stats = matching.stats_from_observation(spark, match_obs)

@@ -2,7 +2,7 @@
 are collapsed to one file.
 
 * processed trips: ``year/month/day`` Parquet, dynamic partition overwrite, dealt by hash of
-  the day and a salt, so a hot day is split over several tasks and files;
+  the day, and of a salt where a day has too many rows for one file;
 * quarantine / unmatched: CSV written in parallel (no ``coalesce(1)``, which would pull
   the whole join into one task);
 * small results (questions, KPIs, metrics): one CSV file each.
@@ -19,23 +19,35 @@ from cabflow.schemas import KEY
 PARTITION_COLS = ["year", "month", "day"]
 
 
-# Pieces that a day's rows are dealt to, at most one per task of the shuffle.
-DAY_PIECES = 64
+# Rows of one file of the processed layout, about; a day with more is dealt to several tasks.
+ROWS_PER_FILE = 2_000_000
 
 
-def write_processed(df: DataFrame, path: str, num_partitions: int | None = None, day_pieces: int = DAY_PIECES) -> None:
+def day_pieces(trips: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``year, month, day, pieces`` of the days that need more than one file, from a count over a
+    table with ``pickup_datetime`` (at most one row per calendar day)."""
+    counts = add_ymd(trips.select("pickup_datetime")).groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > rows_per_file).select(
+        *PARTITION_COLS, F.ceil(F.col("n") / F.lit(rows_per_file)).alias("pieces"))
+
+
+def write_processed(df: DataFrame, path: str, num_partitions: int | None = None, pieces: DataFrame | None = None) -> None:
     """Matched trips -> Parquet partitioned by pickup ``year, month, day`` (overwrite with
     dynamic partition mode: only the days present in ``df`` are replaced).
 
-    Rows are dealt by hash of the day and a salt from the key, so ``df`` (the match) is computed
-    once: a range partitioning would run it once more to sample it. A hot day goes to up to
-    ``day_pieces`` tasks, and has at most that many files."""
+    Rows are dealt by hash of the day, and of a salt from the key where ``pieces`` (see
+    ``day_pieces``) gives the day several, so ``df`` (the match) is computed once: a range
+    partitioning would run it once more to sample it."""
     spark = df.sparkSession
     out = add_ymd(df)
+    salt = F.lit(0)
+    if pieces is not None:
+        out = out.join(F.broadcast(pieces), PARTITION_COLS, "left")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.coalesce("pieces", F.lit(1)))
     # An explicit count keeps AQE from collapsing the writers into one task.
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.lit(max(1, min(day_pieces, n))))
     out = out.repartition(n, *PARTITION_COLS, salt).sortWithinPartitions(*PARTITION_COLS, "pickup_datetime")
+    out = out.select(*df.columns, *[c for c in PARTITION_COLS if c not in df.columns])
     # Per-write option: only this write uses dynamic overwrite, the session is left alone.
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path)
 

@@ -203,7 +203,10 @@ def test_match_runs_once_for_the_processed_write(spark, tmp_out):
     assert seen.value == back.count() == m.count()
     # a single hot day is written by several tasks
     hot = m.withColumn("pickup_datetime", F.lit("2013-05-01 10:00:00").cast("timestamp"))
-    writers.write_processed(hot, f"{tmp_out}/hot", num_partitions=8)
+    pieces = writers.day_pieces(hot, rows_per_file=500)
+    assert pieces.count() == 1
+    writers.write_processed(hot, f"{tmp_out}/hot", num_partitions=8, pieces=pieces)
+    assert spark.read.parquet(f"{tmp_out}/hot").count() == m.count()
     (day,) = [d for d, _, files in os.walk(f"{tmp_out}/hot") if d.endswith("day=1")]
     assert 3 <= len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 8
 
