@@ -142,6 +142,49 @@ def test_toxicity_learns_and_ignores_held_out(spark):
     assert toxicity.score(nothing(spark), scorer).collect() == []
 
 
+def test_toxicity_tells_all_words_apart(spark):
+    """Words whose hashes agree in the first 20 bits are different words; scores as by brute force."""
+    from math import exp, log
+
+    import numpy as np
+
+    from cabflow.llm import kernels as k
+
+    names = [f"w{i}" for i in range(6000)]
+    data = np.frombuffer(" ".join(names).encode(), np.uint8)
+    by = defaultdict(list)
+    for n, h in zip(names, k.words(data, np.array([0, len(data)]), k.ALNUM).hash.tolist(), strict=True):
+        by[h >> 44].append(n)
+    bad, good = zip(*[g[:2] for g in by.values() if len(g) > 1][:6], strict=True)
+    rnd = random.Random(3)
+    rows = [(i, " ".join([rnd.choice(bad) if i % 5 == 0 else "plain", *rnd.sample(good, 3)][: 1 if i % 5 == 0 else 4])) for i in range(600)]
+    labels = {i: int(i % 5 == 0) for i, _ in rows}
+    rows += [(1000, bad[0] + f" {good[0]}" * 1000), (1001, "unseen words"), (1002, f"{bad[1]} " * 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scorer = toxicity.train(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, scorer).collect()}
+    assert all((got[i] >= 0.7) == bool(y) for i, y in labels.items())
+    n = [defaultdict(int), defaultdict(int)]
+    for i, t in rows[:600]:
+        for w in set(t.split()):
+            n[labels[i]][w] += 1
+    size = [480, 120]
+    most = [1.5 * 480 / 120, 1.5]
+    lost = [sum(min(c, most[y]) for c in n[y].values()) for y in (0, 1)]
+    both = sum(sum(c.values()) for c in n)
+
+    def weight(w):
+        x = n[0][w] + n[1][w]
+        like = [(n[y][w] - min(n[y][w], most[y]) + lost[y] * (x / both if x else 1)) / size[y] for y in (0, 1)]
+        ratio = log(like[1] / like[0])
+        return max(ratio - 1.5, 0) if ratio > 0 else min(ratio + 1.5, 0)
+
+    for i, t in rows:
+        w = t.split()
+        z = scorer.slope * sum(map(weight, w)) / (len(w) + 10) ** 0.5 + scorer.intercept
+        assert got[i] == pytest.approx(1 / (1 + exp(-z)), rel=1e-6)
+
+
 def test_op7_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
