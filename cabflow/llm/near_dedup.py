@@ -3,9 +3,14 @@
 A text is the sequence of its 5-word shingles (lower-case words; a text of fewer words is one
 shingle). Shingles are labelled by occurrence (the second "a b c d e" is another k-mer than the
 first). Each of ``REPEATS`` sketches hashes all labelled k-mers and keeps the ``SAMPLED`` smallest
-*in text order*; texts that share ``COMMON`` sketches are candidates. So candidates share k-mers in
-the same order, as texts of small edit distance do. (Of texts at the threshold, a sketch is shared
-with a probability of about 0.41; fewer than three of 24 are, once in 2,000 pairs.)
+*in text order*; texts that share one sketch are candidates. So candidates share k-mers in the same
+order, as texts of small edit distance do. (Of long texts at the threshold, a sketch is shared with
+a probability of about 0.41, and none of 24 once in 300,000 pairs.)
+
+Texts of at most ``SHORT`` shingles have exact keys besides, as a sketch of a short text misses more.
+A link needs four fifths of the shingles of either text in common; so, with the k-mers of each text
+sorted by hash, the two first common ones are among the first n - ceil(0.8 n) + 2 of both texts, and
+every two of these are a key. (A text of one shingle is linked to such texts only, by all sketches.)
 
 Candidates are verified by aligning the two shingle sequences inside the band that the threshold
 leaves: with M aligned shingles out of a and b, the similarity is M / (a + b - M), and 0.8 or more
@@ -19,8 +24,9 @@ A bucket (texts with one sketch) is not expanded into all its pairs:
    few at a time (``PIVOTS``), and are compared with all members of other classes, until every pair of
    members is in one class or has been compared. So no candidate link between different texts is
    lost, whatever the size of a bucket, and a group of copies costs as many alignments as it has
-   members. To compare is first to look at the sizes and the sketches, and to align the texts of
-   candidates only.
+   members. To compare is first to look at the sizes and at the parity of the k-mers in ``PARITY``
+   slots: every odd slot of the two texts together has a k-mer that only one of them has, and of these
+   a link has few. Only what that leaves is aligned, and no link is lost by it.
 
 All tables (sketches, pairs, links, classes) are Spark tables, staged in the shared folder.
 
@@ -43,13 +49,15 @@ from cabflow.llm import common
 from cabflow.llm import kernels as k
 
 SHINGLE = 5
-REPEATS, SAMPLED, COMMON = 24, 4, 3
+REPEATS, SAMPLED = 24, 4
+#: Texts of so many shingles have exact keys; slots in which the parity of the k-mers is kept.
+SHORT, PARITY = 24, 1024
 #: The threshold as a fraction, 8 / 10.
 NEAR, OF = 8, 10
 #: Pivots of one bucket in one round, at most: few at first, as most of a large group joins its main
 #: class through them, and more for what is left; the last number holds for all further rounds.
 PIVOTS = (2, 4, 16, 64, 256)
-SKETCH = "doc_id long, node binary, n long, sketches array<long>"
+SKETCH = "doc_id long, node binary, n long, sketches array<long>, parity array<long>"
 
 
 def shingles(w: k.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -101,18 +109,39 @@ def sketch(kmers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def short_keys(kmers: np.ndarray) -> list[int]:
+    """Keys of which two texts of 2 to ``SHORT`` shingles share one if they are a link."""
+    n = len(kmers)
+    if not 2 <= n <= SHORT:
+        return []
+    first = np.sort(kmers)[: n - -(-NEAR * n // OF) + 2]
+    i, j = np.triu_indices(len(first), 1)
+    return k.mix(k.mix(first[i]) * np.uint64(k.WORD_BASE) + first[j]).view(np.int64).tolist()
+
+
+def parity(kmers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(document, word of 64 bits): whether the number of k-mers in each slot is odd."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    slot = (k.mix(kmers) >> np.uint64(32)).astype(np.int64) % PARITY
+    odd = np.zeros((len(bounds) - 1, PARITY), np.uint8)
+    np.bitwise_xor.at(odd, (doc, slot), 1)
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
 def _sketcher(batches) -> Iterator[pa.RecordBatch]:
     for c in k.chunks(batches):
         h, bounds = shingles(k.words(k.LOWER[c.data], c.bounds, k.ALNUM))
-        keys = sketch(labelled(h, bounds), bounds)
+        kmers = labelled(h, bounds)
         n = np.diff(bounds)
-        keys = keys.view(np.int64)
+        keys = sketch(kmers, bounds).view(np.int64).tolist()
+        keys = [x + short_keys(kmers[i:j]) if i < j else [] for x, i, j in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         yield pa.record_batch(
             {
                 "doc_id": c.rows.column("doc_id"),
                 "node": c.rows.column("node"),
                 "n": pa.array(n),
-                "sketches": pa.array([x if m else [] for x, m in zip(keys.tolist(), n.tolist(), strict=True)], pa.list_(pa.int64())),
+                "sketches": pa.array(keys, pa.list_(pa.int64())),
+                "parity": pa.array(parity(kmers, bounds).tolist(), pa.list_(pa.int64())),
             }
         )
 
@@ -200,12 +229,14 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _candidates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b) each once, those whose sizes and sketches leave a link possible."""
+def _candidates(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b) each once, those whose sizes and parities leave a link possible."""
     once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    a, b = (sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketches").alias(f"s_{x}")) for x in "ab")
+    a, b = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}")) for x in "ab")
     near = (F.col("n_a") * OF >= F.col("n_b") * NEAR) & (F.col("n_b") * OF >= F.col("n_a") * NEAR)
-    alike = F.size(F.array_intersect("s_a", "s_b")) >= COMMON
+    odd = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # of a and b shingles, a link has (OF - NEAR) / (NEAR + OF) or less in one text only
+    alike = odd * (NEAR + OF) <= (F.col("n_a") + F.col("n_b")) * (OF - NEAR)
     return common.stage(once.join(a, "a").join(b, "b").filter(near & alike).select("a", "b"), "pairs")
 
 
@@ -216,7 +247,7 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
     pivot = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = common.stage(members.join(pivot, "bucket").drop("size"), "buckets")
     wanted = members.select("node").distinct()
-    own = common.stage(sketches.join(wanted, "node"), "sketches")
+    own = common.stage(sketches.drop("sketches").join(wanted, "node"), "sketches")
     texts = common.stage(documents.join(wanted, "node").dropDuplicates(["node"]), "candidates")
     labels = own.select("node", F.col("node").alias("label"))
 

@@ -115,6 +115,30 @@ def test_classes_against_brute_force(spark, monkeypatch):
     assert near_dedup.find_classes(nothing(spark)).collect() == []
 
 
+def test_short_pairs_are_all_found(spark):
+    """Pairs at the threshold of 2 to 24 shingles: none may be missed, whatever the words."""
+    rnd = random.Random(4)
+    rows = []
+    for g in range(700):
+        n, more = [(8, 1), (9, 1), (12, 2), (16, 3), (23, 4)][g % 5]
+        w = [f"p{g}x{rnd.randrange(10**6)}" for _ in range(n)]
+        rows += [w, w + [f"q{g}y{i}" for i in range(more)]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(near_dedup.find_classes(docs)) == want(rows)
+
+
+def test_parity_loses_no_link():
+    rnd = random.Random(6)
+    for _ in range(200):
+        n, m = rnd.randrange(1, 3000), rnd.randrange(0, 600)
+        a = np.array(rnd.sample(range(10**9), n + m), np.uint64)
+        b = np.append(a[m:], np.array(rnd.sample(range(10**9, 2 * 10**9), m), np.uint64))
+        both = near_dedup.parity(np.append(a, b), np.array([0, n + m, 2 * (n + m)]))
+        odd = sum((int(x) & 2**64 - 1).bit_count() for x in both[0] ^ both[1])
+        assert odd <= 2 * m and (m or odd == 0)
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randrange(200, 260), rnd.randrange(200, 260)) for _ in range(40)]
