@@ -287,8 +287,8 @@ def node_of(text) -> F.Column:
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def find_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, node, class_id (smallest doc id of its class) and class_size."""
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id (never null), node and the label of its class."""
     common.prepare(docs.sparkSession)
     documents = common.texts(docs, id_col, text_col).select(common.key().alias("doc_id"), node_of("text").alias("node"), "text")
     every = common.stage(documents.mapInArrow(_sketcher, SKETCH), "sketches")
@@ -296,7 +296,12 @@ def find_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = every.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     one = common.stage(every.join(nodes, ["node", "doc_id"]).dropDuplicates(["node"]).drop("doc_id"), "nodes")
     labels = link_classes(one, documents.select("node", "text"))
-    named = every.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return every.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def find_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, node, class_id (smallest doc id of its class) and class_size."""
+    named = _named(docs, id_col, text_col)
     classes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return named.join(classes, "label").select(
         common.unkey("doc_id").alias("doc_id"), "node", common.unkey("class_id").alias("class_id"), "class_size"
@@ -304,13 +309,19 @@ def find_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, with the one of smallest id of each class (rows that repeat both
-    id and text stay together)."""
-    kept = find_classes(docs, id_col, text_col).filter("doc_id <=> class_id")
-    kept = kept.select(common.key().alias("__id"), F.col("node").alias("__node")).distinct()
+    """The documents, all columns, with one of each class: that of smallest id, and of texts with
+    this id the one of smallest node. Rows that repeat both id and text are one document."""
+    per = _named(docs, id_col, text_col).groupBy("label", "doc_id", "node").agg(F.count(F.lit(1)).alias("rows"))
+    kept = per.groupBy("label").agg(F.min(F.struct("doc_id", "node", "rows")).alias("k"))
+    kept = common.stage(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.node").alias("__node"), F.col("k.rows").alias("__rows")), "kept")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(common.NULL_ID)).alias("__id"),
         node_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__node"),
     )
-    return rows.join(kept.hint("shuffle_hash"), ["__id", "__node"], "left_semi").select("row.*")
+    on = ["__id", "__node"]
+    once = rows.join(kept.filter("__rows = 1").hint("shuffle_hash"), on, "left_semi").select("row.*")
+    if kept.filter("__rows > 1").isEmpty():
+        return once
+    again = rows.join(kept.filter("__rows > 1").hint("shuffle_hash"), on, "left_semi").dropDuplicates(on).select("row.*")
+    return once.unionByName(again)

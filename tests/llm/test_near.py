@@ -139,6 +139,15 @@ def test_parity_loses_no_link():
         assert odd <= 2 * m and (m or odd == 0)
 
 
+def test_one_document_of_each_class_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words) + " x", " ".join(words) + " y"]
+    other = " ".join(words[::-1])
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, other), (7, other + " z"), (7, other), (9, other + " v")]
+    kept = pairs(near_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(str(i) for i, _ in kept) == ["7", "None"] and all(r in rows for r in kept)
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randrange(200, 260), rnd.randrange(200, 260)) for _ in range(40)]
