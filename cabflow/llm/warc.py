@@ -13,7 +13,8 @@ a partial aggregate over digests; only digests that occur twice are joined back.
 Reading: each archive is read in pieces of bounded size by one task. The dictionary frame is
 loaded first, then each frame is decoded and its record checked: version line, mandatory headers,
 Content-Length against the block, the closing blank lines, payload length and digest. What does
-not hold raises ValueError with the file and the offset of the frame.
+not hold raises ValueError with the file and the offset of the frame; so does, with the file, an
+archive with another number of records than the manifest says.
 
 Defined results: a null payload is empty; a null page id sorts first and stays null; rows that
 repeat the page id of the response are responses too; line breaks in a URL are percent-encoded, and
@@ -278,10 +279,11 @@ def _payload(record: Record, where: str) -> tuple[bytes | None, int, str]:
 def _reader(with_payload: bool):
     def read(batches):
         for b in batches:
-            for path in b.column(0).to_pylist():
+            for path, records in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 rows: list[dict] = []
-                held = 0
+                held = found = 0
                 for r in read_archive(path):
+                    found += 1
                     payload, size, digest = _payload(r, f"{path} at {r.offset}")
                     refers = r.headers.get("warc-refers-to")
                     row = {
@@ -299,6 +301,8 @@ def _reader(with_payload: bool):
                     if len(rows) >= 2000 or held >= READ_BYTES * 8:
                         yield pa.RecordBatch.from_pylist(rows, schema=_arrow_schema(with_payload))
                         rows, held = [], 0
+                if found != records:
+                    raise ValueError(f"{path}: the archive has {found} records, and the manifest {records}")
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_arrow_schema(with_payload))
 
@@ -316,4 +320,4 @@ def read_archives(spark: SparkSession, manifest: DataFrame, with_payload: bool =
     for a revisit) is left out on request; lengths and digests are checked either way."""
     archives = max(1, manifest.count())
     schema = READ_SCHEMA + (", payload binary" if with_payload else "")
-    return manifest.select("path").repartition(archives).mapInArrow(_reader(with_payload), schema)
+    return manifest.select("path", "records").repartition(archives).mapInArrow(_reader(with_payload), schema)

@@ -207,3 +207,15 @@ def test_warc_reader_validates(spark, tmp_out):
     good = warc.build_record(1, "u", b"abc", 3, "0", None, False)
     with pytest.raises(ValueError):
         warc.parse_record(good[:-5] + b"\r\n\r\n", "here")
+
+
+def test_warc_reader_counts_records(spark, tmp_out):
+    import glob
+
+    manifest = warc.write_archives(page_rows(spark).coalesce(1), f"{tmp_out}/w")
+    (file,) = glob.glob(f"{tmp_out}/w/*.zst")
+    raw = open(file, "rb").read()
+    last = list(warc.read_archive(file))[-1].offset
+    open(file, "wb").write(raw[:last])  # cut exactly between two frames
+    with pytest.raises(Exception, match="the archive has 11 records, and the manifest 12"):
+        warc.read_archives(spark, manifest).collect()
