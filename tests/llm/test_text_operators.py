@@ -31,6 +31,19 @@ def test_exact_copies(spark):
     assert exact_dedup.find_copies(nothing(spark)).collect() == [] == exact_dedup.drop_copies(nothing(spark)).collect()
 
 
+def test_drop_copies_hashes_survivors_only(spark, monkeypatch):
+    """Only rows that share length and prefix with another row have their whole text hashed."""
+    made = []
+    stage = exact_dedup.common.stage
+    monkeypatch.setattr(exact_dedup.common, "stage", lambda df, name, **o: made.append((name, out := stage(df, name, **o))) or out)
+    tail = "p" * 300
+    rows = [(1, tail + "a"), (2, tail + "b"), (3, tail + "a"), (4, "alone"), (5, "other"), (6, "longer text")]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(i for i, _ in pairs(kept)) == [2, 3, 4, 5, 6]
+    hashed = [df for _, df in made if "text_sha256" in df.columns and "doc_id" in df.columns]
+    assert [sorted(r.doc_id for r in df.collect()) for df in hashed] == [[1, 2, 3]]
+
+
 # ---- decontamination -------------------------------------------------------------------
 
 def decon_words(text):
