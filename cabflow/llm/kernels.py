@@ -6,6 +6,7 @@ the offsets at which each document begins. A document is never split over two ch
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-# Fixed odd multipliers of the polynomial hashes.
+# Fixed odd multipliers of the hashes.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 WORD_BASE_2 = 0xAF251AF3B0F025B5
@@ -49,7 +50,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(values: np.ndarray, base: int) -> np.ndarray:
-    """Prefix sums of ``values[i] * base**i``; ``spans`` turns them into hashes of runs."""
+    """Prefix sums of ``values[i] * base**i``; ``spans`` turns them into hashes of runs. For runs of a few
+    hundred values at most: modulo 2**64 such sums are weak for long runs (two Thue-Morse strings of
+    1,024 letters have equal ones whatever the base). Words and windows are hashed by ``run_hash``."""
     p, _ = powers(base, len(values) + 1)
     out = np.zeros(len(values) + 1, dtype=U64)
     np.cumsum(values * p[: len(values)], out=out[1:])
@@ -62,6 +65,55 @@ def spans(prefix: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) ->
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U64))
 
 
+def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of ``a`` followed by ``b``. Not a sum: no pattern of repeats cancels out."""
+    return mix(mix(a) * U64(WORD_BASE) + b)
+
+
+#: Runs of more bytes are hashed by blake2b, one call each.
+LONG_RUN = 64
+_LOW_BYTES = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [2**64 - 1], U64)
+
+
+def run_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte run [start, end): two chains over its blocks of 8 bytes."""
+    size = end - start
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the 8 bytes from each place on
+    block = eight[start] & _LOW_BYTES[np.minimum(size, 8)]
+    length = size.astype(U64)
+    one = mix(block + length * U64(WORD_BASE))
+    two = block * U64(WORD_BASE_2) + length
+    more, at = np.flatnonzero((size > 8) & (size <= LONG_RUN)), 8
+    while len(more):
+        block = eight[start[more] + at] & _LOW_BYTES[np.minimum(size[more] - at, 8)]
+        one[more] = mix(one[more] ^ block)
+        two[more] = mix(two[more]) + block * U64(BYTE_BASE)
+        at += 8
+        more = more[size[more] > at]
+    out = mix(one + mix(two))
+    for i in np.flatnonzero(size > LONG_RUN).tolist():
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def run_of_hashes(h: np.ndarray, size: int, at: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of the ``size`` values from each place ``at`` on, by halves."""
+    level = mix(h ^ U64(seed)) if seed else h
+    out, done, width = None, 0, 1
+    while True:
+        if size & width:
+            part = level[at + done]
+            out = part if out is None else combine(out, part)
+            done += width
+        if done == size:
+            return out
+        level = combine(level[: len(level) - width], level[width:])
+        width *= 2
+
+
 class Chunk(NamedTuple):
     rows: pa.RecordBatch  # the documents of the chunk, whole rows
     data: np.ndarray  # uint8, their texts end to end
@@ -133,11 +185,10 @@ def words(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> Words:
     first[edge] = inside[edge]
     last[edge - 1] = inside[edge - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    prefix = prefix_hash(data.astype(U64) + U64(1), BYTE_BASE)
-    return Words(start, end, np.searchsorted(start, bounds), spans(prefix, BYTE_BASE, start, end))
+    return Words(start, end, np.searchsorted(start, bounds), run_hash(data, start, end))
 
 
-def windows(w: Words, size: int, base: int = WORD_BASE) -> tuple[np.ndarray, np.ndarray]:
+def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(word index, hash) of every run of ``size`` words that lies in one document."""
     n = len(w.hash)
     if n < size:
@@ -147,8 +198,7 @@ def windows(w: Words, size: int, base: int = WORD_BASE) -> tuple[np.ndarray, np.
     np.add.at(ok, w.bounds[:-1][has], 1)
     np.add.at(ok, w.bounds[1:][has] - size + 1, -1)
     at = np.flatnonzero(np.cumsum(ok)[:n])
-    prefix = prefix_hash(w.hash, base)
-    return at, spans(prefix, base, at, at + size)
+    return at, run_of_hashes(w.hash, size, at)
 
 
 def covered(n: int, start: np.ndarray, length) -> np.ndarray:

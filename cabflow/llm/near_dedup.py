@@ -66,8 +66,14 @@ def shingles(w: k.Words) -> tuple[np.ndarray, np.ndarray]:
     counts = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
     bounds = np.append(0, np.cumsum(counts))
     start = np.arange(bounds[-1]) + np.repeat(w.bounds[:-1] - bounds[:-1], counts)
-    end = np.minimum(start + SHINGLE, np.repeat(w.bounds[1:], counts))
-    return k.spans(k.prefix_hash(w.hash, k.WORD_BASE), k.WORD_BASE, start, end), bounds
+    whole = np.repeat(n >= SHINGLE, counts)
+    h = np.zeros(len(start), np.uint64)
+    h[whole] = k.run_of_hashes(w.hash, SHINGLE, start[whole]) if whole.any() else 0
+    for i in np.flatnonzero(~whole).tolist():
+        doc = int(np.searchsorted(bounds, i, "right")) - 1
+        own = w.hash[w.bounds[doc] : w.bounds[doc + 1]]
+        h[i] = k.run_of_hashes(own, len(own), np.zeros(1, np.int64), k.WORD_BASE_2)[0]
+    return h, bounds
 
 
 def labelled(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -90,8 +90,7 @@ def _candidates(window: int, n: int):
             before = np.append(0, np.cumsum(near))
             on = before[at + reach] > before[at]
             at, h = at[on], h[on]
-            other = k.prefix_hash(w.hash, k.WORD_BASE_2)
-            to = destination(k.spans(other, k.WORD_BASE_2, at, at + window), n)
+            to = destination(k.run_of_hashes(w.hash, window, at, k.WORD_BASE_2), n)
             doc = np.searchsorted(w.bounds, at, "right") - 1
             ids, ties = c.rows.column("doc_id").to_numpy(), c.rows.column("tie").to_numpy()
             held.append((ids[doc], ties[doc], at - w.bounds[doc], h, to))

@@ -162,8 +162,7 @@ class Encoder:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
         end = np.append(start[1:], len(data))
-        prefix = k.prefix_hash(data.astype(np.uint64) + np.uint64(1), k.BYTE_BASE)
-        names, first, which = np.unique(k.spans(prefix, k.BYTE_BASE, start, end), return_index=True, return_inverse=True)
+        names, first, which = np.unique(k.run_hash(data, start, end), return_index=True, return_inverse=True)
         if len(self.slots) + len(names) > TABLE_ENTRIES and len(self.slots) > TABLE_ENTRIES // 2:
             self._shrink()
         slots, listed = self.slots, names.tolist()

@@ -11,6 +11,11 @@ SF = "/root/testdata/sf0.001"
 DOC_SCHEMA = "doc_id long, text string, n_words string, rank int, digest string"
 
 
+# Two words that polynomial hashes modulo 2**64 do not tell apart, whatever their base.
+WORD = "".join("ab"[n.bit_count() % 2] for n in range(1024))
+OTHER_WORD = WORD.translate(str.maketrans("ab", "ba"))
+
+
 def awkward(spark, extra=()):
     """Nulls in every column, empty and long texts, ties, repeated rows, clashing column names."""
     rnd = random.Random(7)
@@ -20,7 +25,8 @@ def awkward(spark, extra=()):
         (1, prose[0]), (2, prose[0]), (3, prose[0] + " tail"), (4, "x " + prose[1]), (5, prose[1] + "\n" + prose[0]),
         (6, None), (7, ""), (8, "   \n\t "), (9, "one"), (10, "a" * 5000), (11, "ab " * 3000), (12, prose[2]),
         (12, prose[2]), (12, prose[3]), (None, prose[3]), (None, None), (13, "<|endoftext|> x<|endoftext|>y"),
-        (14, " ".join(prose)), (15, "é" * 300), (16, "é" * 300),
+        (14, " ".join(prose)), (15, "é" * 300), (16, "é" * 300), (17, " ".join([*"pqrstuv" * 2, *"wxyz", WORD, "end"])),
+        (18, " ".join([*"pqrstuv" * 2, *"wxyz", OTHER_WORD, "end"])), (19, f"{WORD}\n{OTHER_WORD}"),
     ]
     rows = [(i, t, "clash", None, t) for i, t in [*rows, *extra]]
     return spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)

@@ -54,6 +54,7 @@ def test_words_against_brute_force(spark, size, monkeypatch):
 def test_words_awkward(spark):
     docs = awkward(spark)
     got = digest(substring_dedup.remove_repeats(docs))
+    assert sorted(r[:3] for r in got if r[0] in (17, 18)) == [(17, 20, 0), (18, 20, 0)]  # another word each
     assert len(got) == docs.count()
     twelve = sorted(r[1:3] for r in got if r[0] == 12)  # the repeated row is one document, the other text is another
     assert twelve == [(60, 0), (60, 0), (60, 60)]  # the null id, which sorts first, has that other text

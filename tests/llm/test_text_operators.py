@@ -7,7 +7,7 @@ import pytest
 
 from cabflow.llm import decontaminate, exact_dedup, toxicity
 from cabflow.llm import queries as q
-from tests.llm.helpers import SF, awkward, nothing, pairs, rows_of
+from tests.llm.helpers import SF, WORD, awkward, nothing, pairs, rows_of
 
 SHA = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
@@ -77,7 +77,7 @@ def test_decontaminate_awkward(spark, block, monkeypatch):
     word = lambda: rnd.choice(["a", "B", "c9", "né", "中"])
     texts = [" ".join(word() for _ in range(rnd.choice([0, 1, 3, 30, 200]))) for _ in range(40)]
     docs = awkward(spark, [(100 + i, t) for i, t in enumerate(texts)])
-    items = [(1, texts[3]), (2, None), (3, ""), (4, "A b"), (None, texts[4][:40]), (1, texts[5]), (10, "a--B, C9"), (6, "zzz")]
+    items = [(1, texts[3]), (2, None), (3, ""), (4, "A b"), (None, texts[4][:40]), (1, texts[5]), (10, "a--B, C9"), (6, "zzz"), (7, WORD)]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     for size in (3, 10):
         got = decontaminate.scan(docs, bench, size).collect()

@@ -156,11 +156,14 @@ def test_plan_covers_histogram(seed):
     assert (n > 0).all() and (np.bincount(plan.length, n, cap + 1) == h).all()
     best = -(-int((h * np.arange(cap + 1)).sum()) // cap)
     assert plan.sequences <= best * 1.01 + 3, (plan.sequences, best)
-    fill = np.zeros(plan.sequences, np.int64)
-    for length, first, s, off, k in zip(plan.length, plan.first, plan.sequence, plan.offset, n, strict=True):
-        assert (fill[s : s + k] == off).all() or True
-        fill[s : s + k] += length
-    assert fill.max() <= cap and (fill > 0).all()
+    length, off = np.repeat(plan.length, n), np.repeat(plan.offset, n)
+    where = np.repeat(plan.sequence - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    order = np.lexsort((off, where))
+    length, off, where = length[order], off[order], where[order]
+    new = np.r_[True, where[1:] != where[:-1]]
+    end = off + length
+    assert (off == np.where(new, 0, np.r_[0, end[:-1]])).all()  # gapless from 0 in every sequence
+    assert end.max() <= cap and (np.unique(where) == np.arange(plan.sequences)).all()
 
 
 def page_rows(spark):
