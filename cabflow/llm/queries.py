@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import common, decontaminate, exact_dedup, near_dedup, packing, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
+from cabflow.llm import common, decontaminate, exact_dedup, near_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
 from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_dedup")
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.find_classes(common.table(spark, sf_dir, "documents")).drop("node")
+
+
+@query("op11_simhash")
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.find_components(common.table(spark, sf_dir, "documents"))
