@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import common, decontaminate, exact_dedup, near_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
+from cabflow.llm import common, decontaminate, exact_dedup, lexical, near_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
 from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,30 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_simhash")
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find_components(common.table(spark, sf_dir, "documents"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+q AS (SELECT DISTINCT item_id, text FROM benchmark),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM q),
+item AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+sums AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms)) AS all_terms FROM d),
+posting AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM item) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), sums),
+score AS (SELECT item_id, r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) //
+    (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // all_terms))))) AS BIGINT) AS score
+  FROM item JOIN posting USING (term) JOIN w USING (term), sums GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM score WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op13_lexical_search", SEARCH)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
