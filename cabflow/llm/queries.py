@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import common, decontaminate, exact_dedup, lexical, near_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
+from cabflow.llm import common, decontaminate, divergence, exact_dedup, lexical, near_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc
 from cabflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,36 @@ SELECT * FROM ranked WHERE rank <= 20
 @query("op13_lexical_search", SEARCH)
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+AUDIT = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+whole AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+cell AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+size AS (SELECT lang, source, sum(n) AS n FROM cell GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+  1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (coalesce(s.n, 0) + 2 * w.v) AS p,
+  1 + CAST(1000000000 AS HUGEINT) * (k.total + 2) // (w.n + 2 * w.v) AS q
+  FROM grp g JOIN kept k ON k.lang = g.lang JOIN whole w ON w.lang = g.lang
+  LEFT JOIN cell c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN size s ON s.lang = g.lang AND s.source = g.source),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT g.lang, g.source, h.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM grp g JOIN grp h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN f ON f.lang = g.lang AND f.source = g.source AND f.item = h.source),
+term AS (SELECT lang, source, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+best AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM term)
+SELECT lang, source, 'pair' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pair
+UNION ALL SELECT lang, source, 'term', item, value, rank FROM best WHERE rank <= 10
+"""
+
+
+@query("op12_source_divergence", AUDIT)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(common.table(spark, sf_dir, "documents"))
