@@ -14,14 +14,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions import features as fx
+from cabflow.operators import tree_sql
 from cabflow.schemas import KEY
 from cabflow.session import remove_path, scratch_dir
 
@@ -197,6 +199,20 @@ def stage_training_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+TREES = (RandomForestRegressor, GBTRegressor, RandomForestClassifier, GBTClassifier)
+
+
+def save_scoring_sql(spark: SparkSession, model_path: str, path: str, features: list[str]) -> None:
+    """Write the scoring expression of a saved tree model to ``path`` (one text file), for engines without the
+    ML runtime."""
+    ensemble = tree_sql.load(spark, model_path, features)
+    try:
+        sql = tree_sql.compile_ensemble(ensemble).prediction_sql()
+    except ValueError:  # too many cells
+        sql = ensemble.case_sql()
+    spark.createDataFrame([(sql,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def train_evaluate(
     data: DataFrame,
     task: str,
@@ -217,6 +233,8 @@ def train_evaluate(
         if models and name not in models:
             continue
         fit(est, train, p.features).write().overwrite().save(f"{root}/{task}/{name}")
+        if output_path and isinstance(est, TREES):
+            save_scoring_sql(spark, f"{root}/{task}/{name}", f"{root}/{task}_sql/{name}", p.features)
         # Score with the model as saved. A freshly fitted logistic model still holds its training
         # summary, and through it the session, which cannot be sent to tasks once any query of
         # the session has used ``observe``.
@@ -237,10 +255,28 @@ def run_ml(df: DataFrame, output_path: str | None = None, params: ModelParams |
     """Features -> staged table -> three regressors and three classifiers, fitted and evaluated on
     every row. The staged copy is removed once the metrics are there."""
     spark = df.sparkSession
-    path = scratch_dir(spark, "ml-features")
+    path, data = scratch_dir(spark, "ml-features"), None
     try:
-        data = stage_training_table(prepare_features(df), path)
+        # The six fits scan the narrow table many times: kept in memory where it fits, else on disk.
+        data = stage_training_table(prepare_features(df), path).persist(StorageLevel.MEMORY_AND_DISK)
         reg = train_evaluate(data, "regression", params, output_path=output_path)
         return reg.unionByName(train_evaluate(data, "classification", params, output_path=output_path))
     finally:
+        if data is not None:
+            data.unpersist()
         remove_path(spark, path)
+
+
+def in_range(metrics: DataFrame) -> DataFrame:
+    """``task, model, metric, in_range``: whether each value of a ``task, model, metric, value`` table is one
+    that its metric can take (given the model's other metrics)."""
+    per = metrics.groupBy("task", "model").agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("of"))
+    m, v = F.col("metric"), F.col("value")
+    ok = (
+        F.when(m == "RMSE", v >= 0)
+        .when(m == "MAE", (v >= 0) & (v <= F.col("of")["RMSE"] * (1 + 1e-12)))
+        .when(m == "R2", v <= 1)
+        .when(m == "Recall", F.abs(v - F.col("of")["Accuracy"]) < 1e-12)
+        .otherwise((v >= 0) & (v <= 1))
+    )
+    return metrics.join(per, ["task", "model"]).select("task", "model", "metric", F.coalesce(ok, F.lit(False)).alias("in_range"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cabflow.functions import features as fx
-from cabflow.operators import enrich, matching, quality, quantiles, questions
+from cabflow.operators import certificates, enrich, matching, quality, quantiles, questions, tree_sql
 from cabflow.plans import flow
 from cabflow.plans.oracle import FARE_COLS, FARE_VALS, MATCHED_COLS, TRIP_COLS, q, r
 from cabflow.schemas import KEY
@@ -786,24 +786,184 @@ def _model_query(task: str, model: str):
     def run(spark, sf):
         path = scratch_dir(spark, "ml-features")
         try:
-            return ml.train_evaluate(ml.stage_training_table(_ml_data(spark, sf), path), task, models=[model])
+            return stable(ml.train_evaluate(ml.stage_training_table(_ml_data(spark, sf), path), task, models=[model]))
         finally:
             remove_path(spark, path)
 
     return run
 
 
+# The oracle fits the linear and the logistic model itself: coordinate descent on the Gram matrix, and gradient
+# steps over the training rows, both as recursive CTEs run until nothing moves any more.
+_X = ["x1", "x2", "x3", "x4"]
+_ROWS_SQL = ("f AS MATERIALIZED (SELECT hav AS x1, CAST(pickup_hour AS DOUBLE) AS x2, CAST(is_weekend AS DOUBLE) AS x3, "
+             f"CAST(passenger_count AS DOUBLE) AS x4, total_amount AS y, CAST(label AS DOUBLE) AS label, bucket FROM {_MLFEAT}), "
+             "tr AS (SELECT * FROM f WHERE bucket < 8), te AS (SELECT * FROM f WHERE bucket >= 8)")
+
+
+def _linear_sql() -> str:
+    aggregates = ["avg(y) AS my", "stddev_pop(y) AS sy"]
+    for i, x in enumerate(_X):
+        aggregates += [f"avg({x}) AS m{i}", f"stddev_pop({x}) AS s{i}", f"corr({x}, y) AS r{i}"]
+        aggregates += [f"corr({x}, {z}) AS r{i}_{j}" for j, z in enumerate(_X) if j > i]
+
+    def step(i: int) -> str:
+        """The best weight i given the others (new ones before it, old ones after it)."""
+        rest = " - ".join([f"r{i}"] + [f"r{min(i, j)}_{max(i, j)} * {'n' if j < i else 'w'}{j}" for j in range(4) if j != i])
+        return f"sign({rest}) * greatest(abs({rest}) - l1, 0) / (1 + l2)"
+
+    steps, inner = "cd, g WHERE i < 300", ""
+    for i in range(4):
+        inner = f"(SELECT *, {step(i)} AS n{i} FROM {inner or steps})"
+    betas = ", ".join(f"w{i} * sy / s{i} AS b{i}" for i in range(4))
+    return (f"g AS (SELECT *, 0.08 / sy AS l1, 0.02 / sy AS l2 FROM (SELECT {', '.join(aggregates)} FROM tr)), "
+            "cd(i, w0, w1, w2, w3) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) "
+            f"UNION ALL SELECT i + 1, n0, n1, n2, n3 FROM {inner}), "
+            f"beta AS (SELECT b0, b1, b2, b3, my - b0 * m0 - b1 * m1 - b2 * m2 - b3 * m3 AS b FROM "
+            f"(SELECT *, {betas} FROM (SELECT * FROM cd ORDER BY i DESC LIMIT 1), g))")
+
+
+def _logistic_sql() -> str:
+    scale = ", ".join(f"avg({x}) AS m{i}, stddev_samp({x}) AS s{i}" for i, x in enumerate(_X))
+    z = ", ".join(f"({x} - m{i}) / s{i} AS z{i}" for i, x in enumerate(_X))
+    moves = ", ".join(f"w{i} - 1.5 * (avg((p - label) * z{i}) + 0.1 * w{i})" for i in range(4))
+    return (f"g AS (SELECT {scale} FROM tr), z AS MATERIALIZED (SELECT {z}, label FROM tr, g), "
+            "gd(i, w, w0, w1, w2, w3) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), "
+            f"CAST(0 AS DOUBLE) UNION ALL SELECT i + 1, w - 2 * avg(p - label), {moves} FROM (SELECT *, "
+            "1 / (1 + exp(-(w + w0 * z0 + w1 * z1 + w2 * z2 + w3 * z3))) AS p FROM gd, z WHERE i < 400) GROUP BY i, w, w0, w1, w2, w3), "
+            "beta AS (SELECT w0 / s0 AS b0, w1 / s1 AS b1, w2 / s2 AS b2, w3 / s3 AS b3, "
+            "w - w0 * m0 / s0 - w1 * m1 / s1 - w2 * m2 / s2 - w3 * m3 / s3 AS b FROM (SELECT * FROM gd ORDER BY i DESC LIMIT 1), g)")
+
+
+_FITTED = "(b + b0 * x1 + b1 * x2 + b2 * x3 + b3 * x4)"
+_REG_METRICS = {"RMSE": "sqrt(avg((p - y) * (p - y)))", "MAE": "avg(abs(p - y))",
+                "R2": "1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))"}
+
+
+def qr(body: str) -> str:
+    """An oracle with recursive parts."""
+    return "WITH RECURSIVE" + q(body).removeprefix("WITH")
+
+
+def _metric_rows(task: str, model: str, metrics: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{task}' AS task, '{model}' AS model, '{m}' AS metric, {r(e, 'value')} FROM {source}" for m, e in metrics.items()
+    )
+
+
+_LINEAR_METRICS = (f", {_ROWS_SQL}, {_linear_sql()}, scored AS (SELECT y, {_FITTED} AS p FROM te, beta) "
+                   + _metric_rows("regression", "LinearRegression", _REG_METRICS, "scored"))
+_PER_LABEL = ("c AS (SELECT label AS y, CASE WHEN " + _FITTED + " > 0 THEN 1.0 ELSE 0.0 END AS p FROM te, beta), "
+              "k AS (SELECT l.y, nt, tp, coalesce(np, 0) AS np FROM (SELECT y, count(*) AS nt, count(*) FILTER (WHERE y = p) AS tp FROM c GROUP BY y) l "
+              "LEFT JOIN (SELECT p, count(*) AS np FROM c GROUP BY p) USING (p)), "
+              "j AS (SELECT *, CASE WHEN np > 0 THEN tp / np ELSE 0 END AS pr, tp / nt AS rc FROM k), "
+              "h AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END AS f1 FROM j)").replace(
+                  "USING (p)", "pp ON pp.p = l.y")
+_CLS_METRICS = {"Accuracy": "sum(tp) / sum(nt)", "Precision": "sum(nt * pr) / sum(nt)", "Recall": "sum(nt * rc) / sum(nt)",
+                "F1": "sum(nt * f1) / sum(nt)"}
+_LOGISTIC_METRICS = (f", {_ROWS_SQL}, {_logistic_sql()}, {_PER_LABEL} "
+                     + _metric_rows("classification", "LogisticRegression", _CLS_METRICS, "h"))
+
+for _task, _model, _qname, _oracle in [
+    ("regression", "LinearRegression", "ml_reg_linear", qr(_LINEAR_METRICS)),
+    ("regression", "RandomForestRegressor", "ml_reg_forest", None),
+    ("regression", "GBTRegressor", "ml_reg_gbt", None),
+    ("classification", "LogisticRegression", "ml_cls_logistic", qr(_LOGISTIC_METRICS)),
+    ("classification", "RandomForestClassifier", "ml_cls_forest", None),
+    ("classification", "GBTClassifier", "ml_cls_gbt", None),
+]:
+    register(_qname, _oracle)(_model_query(_task, _model))
+
+
+def _fitted(spark, sf, task: str, model: str, use):
+    """``use(model, training table, path of the saved model)`` with the scratch removed after; its result is written
+    first, as it reads the training table."""
+    from cabflow.session import scratch_dir as fresh
+
+    root = fresh(spark, "ml-model")
+    try:
+        data = ml.stage_training_table(_ml_data(spark, sf), f"{root}/features")
+        p = ml.ModelParams()
+        estimator = (ml.regressors(p) if task == "regression" else ml.classifiers(p))[model]
+        path = f"{root}/model"
+        ml.fit(estimator, ml.split(data)[0], p.features).write().overwrite().save(path)
+        out = use(data, path)
+        return spark.createDataFrame(out.collect(), out.schema)  # a row per term or per hour
+    finally:
+        remove_path(spark, root)
+
+
+_TERMS = [*ml.FEATURES, certificates.INTERCEPT]
+
+
+def _certificate_sql(fit: str) -> str:
+    terms = " UNION ALL ".join(
+        f"SELECT '{t}' AS term, (SELECT count(*) FROM tr) AS trips, {r(b, 'coefficient', 4)}, TRUE AS optimal FROM beta"
+        for t, b in zip(_TERMS, ["b0", "b1", "b2", "b3", "b"], strict=True))
+    return qr(f", {_ROWS_SQL}, {fit} {terms}")
+
+
+@register("ml_reg_linear_certificate", _certificate_sql(_linear_sql()))
+def ml_reg_linear_certificate(spark, sf):
+    """The saved elastic net is the optimum of its objective: every term, by one aggregate."""
+    def use(data, path):
+        p, m = ml.ModelParams(), ml.PipelineModel.load(path).stages[-1]
+        return certificates.linear(ml.split(data)[0], p.features, ml.REG_LABEL, m.coefficients.toArray(), m.intercept, p.lr_reg, p.lr_elastic)
+
+    return stable(_fitted(spark, sf, "regression", "LinearRegression", use).drop("violation"), 4)
+
+
+@register("ml_cls_logistic_certificate", _certificate_sql(_logistic_sql()))
+def ml_cls_logistic_certificate(spark, sf):
+    def use(data, path):
+        p, m = ml.ModelParams(), ml.PipelineModel.load(path).stages[-1]
+        return certificates.logistic(ml.split(data)[0], p.features, ml.CLS_LABEL, m.coefficients.toArray(), m.intercept, p.logr_reg)
+
+    return stable(_fitted(spark, sf, "classification", "LogisticRegression", use).drop("violation"), 4)
+
+
+_COMPILED = q("SELECT CASE WHEN bucket < 8 THEN 'train' ELSE 'test' END AS part, pickup_hour, is_weekend, count(*) AS trips, "
+              f"count(*) AS agreeing FROM {_MLFEAT} GROUP BY ALL")
+
+
+def _compiled_query(task: str, model: str):
+    def use(data, path):
+        spark = data.sparkSession
+        ensemble = tree_sql.load(spark, path, ml.FEATURES)
+        part = F.when(F.col(ml.BUCKET) < ml.TRAIN_BUCKETS, "train").otherwise("test")
+        scored = ml.PipelineModel.load(path).transform(data).withColumn("part", part)
+        return tree_sql.agreement(tree_sql.with_prediction(scored, ensemble, "compiled"), ["part", "pickup_hour", "is_weekend"])
+
+    def run(spark, sf):
+        """Every row of the training table scored by the runtime and by the compiled SQL expression: how many agree."""
+        return _fitted(spark, sf, task, model, use)
+
+    return run
+
+
 for _task, _model, _qname in [
-    ("regression", "LinearRegression", "ml_reg_linear"),
-    ("regression", "RandomForestRegressor", "ml_reg_forest"),
-    ("regression", "GBTRegressor", "ml_reg_gbt"),
-    ("classification", "LogisticRegression", "ml_cls_logistic"),
-    ("classification", "RandomForestClassifier", "ml_cls_forest"),
-    ("classification", "GBTClassifier", "ml_cls_gbt"),
+    ("regression", "RandomForestRegressor", "ml_reg_forest_compiled"),
+    ("regression", "GBTRegressor", "ml_reg_gbt_compiled"),
+    ("classification", "RandomForestClassifier", "ml_cls_forest_compiled"),
+    ("classification", "GBTClassifier", "ml_cls_gbt_compiled"),
 ]:
-    register(_qname)(_model_query(_task, _model))
+    register(_qname, _COMPILED)(_compiled_query(_task, _model))
 
 
 @register("ml_metrics_all")
 def ml_metrics_all(spark, sf):
     return ml.run_ml(flow.fixture_matched(spark, sf))
+
+
+def _ranges_sql() -> str:
+    reg = ["LinearRegression", "RandomForestRegressor", "GBTRegressor"]
+    cls = ["LogisticRegression", "RandomForestClassifier", "GBTClassifier"]
+    rows = [("regression", m, k) for m in reg for k in _REG_METRICS] + [("classification", m, k) for m in cls for k in _CLS_METRICS]
+    return " UNION ALL ".join(f"SELECT '{t}' AS task, '{m}' AS model, '{k}' AS metric, TRUE AS in_range" for t, m, k in rows)
+
+
+@register("ml_metrics_ranges", _ranges_sql())
+def ml_metrics_ranges(spark, sf):
+    """All metrics of one ML run lie where they must: errors at or above 0 and MAE at most RMSE, R2 at most 1,
+    shares in [0, 1], and recall (weighted by label) equal to accuracy."""
+    return ml.in_range(ml.run_ml(flow.fixture_matched(spark, sf)))
