@@ -71,9 +71,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
-    """A fresh, unique path below the checkpoint folder (or ``root``) for one staged table."""
+    """A fresh, unique path below the checkpoint folder (or ``root``) for one staged table. What is still there
+    when the driver ends is deleted then."""
     root = (root or checkpoint_root(spark)).rstrip("/")
-    return f"{root}/cabflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/cabflow/{name}-{uuid.uuid4().hex[:12]}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +162,61 @@ def test_overview_is_observed_on_the_stats_scan(spark, abase):
     seen, stats = profile.overview_and_stats(abase)
     assert stats.count() == len(profile.numeric_columns(abase))
     assert profile.overview_from_observation(abase, seen).first() == profile.overview_document(abase).first()
+
+
+def _rounds(monkeypatch, bound):
+    """Patch the bound; returns the list of the largest open interval that each final ranking saw, and of rounds."""
+    from cabflow.operators import quantiles
+
+    seen, rounds = [], []
+    monkeypatch.setattr(quantiles, "BOUND", bound)
+    narrow, rest = quantiles._narrow, quantiles._rank_rest
+
+    def ranked(vals, state, keys, names):
+        open_rows = [F.when(F.col(f"_x{i}").isNull(), F.col(f"_m{i}")).otherwise(0) for i in range(len(names))]
+        seen.append(state.agg(F.max(F.greatest(*open_rows, F.lit(0)))).first()[0])
+        return rest(vals, state, keys, names)
+
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    monkeypatch.setattr(quantiles, "_rank_rest", ranked)
+    return seen, rounds
+
+
+def _sorted_pick(values, p):
+    return sorted(values)[max(1, math.ceil(p * len(values))) - 1]
+
+
+def test_exact_quantiles_take_rounds_on_a_continuous_column(spark, monkeypatch):
+    seen, rounds = _rounds(monkeypatch, 100)
+    probs, names = [0.0, 0.01, 0.5, 0.777, 1.0], ["a", "b", "c", "d", "e"]
+    rnd = random.Random(11)
+    rows = [("hot", rnd.lognormvariate(0, 3)) for _ in range(60_000)]  # all different
+    rows += [("ties", float(rnd.randrange(3))) for _ in range(5_000)] + [("one", 7.0)] * 3_000 + [(None, rnd.random()) for _ in range(400)]
+    rows += [("few", v) for v in (3.0, None, 1.0, float("-inf"), float("inf"))] + [("none", None)] * 300
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r.g: tuple(r[n] for n in names) for r in grouped_exact_quantiles(df, ["g"], "v", probs, names).collect()}
+    want = {}
+    for g in {g for g, v in rows if v is not None}:
+        want[g] = tuple(_sorted_pick([v for h, v in rows if h == g and v is not None], p) for p in probs)
+    assert got == want
+    assert len(rounds) >= 2 and seen[0] <= 100
+    whole = grouped_exact_quantiles(df, [], "v", probs, names).collect()
+    assert [tuple(r) for r in whole] == [tuple(_sorted_pick([v for _, v in rows if v is not None], p) for p in probs)]
+    assert len(rounds) >= 4 and max(seen) <= 100
+    empty = grouped_exact_quantiles(df.filter("g = 'none'"), ["g"], "v", probs, names)
+    assert empty.collect() == [] and empty.columns == ["g", *names]
+
+
+def test_a_bad_sketch_costs_rounds_not_the_result(spark, monkeypatch):
+    """With cuts far from the wanted rank (a sketch of 8 parts and of poor accuracy) the answer is the same."""
+    from cabflow.operators import quantiles
+
+    seen, rounds = _rounds(monkeypatch, 200)
+    monkeypatch.setattr(quantiles, "GRID", 8)
+    monkeypatch.setattr(quantiles, "ACCURACY", 60)
+    rnd = random.Random(5)
+    values = [rnd.choice([rnd.random(), 0.5]) for _ in range(3_000)]
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double")
+    row = grouped_exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], ["a", "b", "c"]).first()
+    assert (row.a, row.b, row.c) == tuple(_sorted_pick(values, p) for p in (0.1, 0.5, 0.9))
+    assert len(rounds) >= 2 and seen[0] <= 200
