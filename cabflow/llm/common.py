@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.session import scratch_dir
+from cabflow.session import remove_path, scratch_dir
 
 #: Key of rows whose id is null (so that joins on the key keep them).
 NULL_ID = -(2**63)
@@ -48,4 +48,12 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete tables from ``stage`` that nothing will read again (the rest goes when the driver ends)."""
+    for df in staged:
+        remove_path(df.sparkSession, df.staged_at)

@@ -26,7 +26,9 @@ A bucket (texts with one sketch) is not expanded into all its pairs:
    lost, whatever the size of a bucket, and a group of copies costs as many alignments as it has
    members. To compare is first to look at the sizes and at the parity of the k-mers in ``PARITY``
    slots: every odd slot of the two texts together has a k-mer that only one of them has, and of these
-   a link has few. Only what that leaves is aligned, and no link is lost by it.
+   a link has few. Only what that leaves is aligned, and no link is lost by it. The first look happens
+   in tiles, the pivots of a bucket against a block of about ``BLOCK`` members as arrays, and only pairs
+   that pass it become rows.
 
 All tables (sketches, pairs, links, classes) are Spark tables, staged in the shared folder.
 
@@ -57,6 +59,8 @@ NEAR, OF = 8, 10
 #: Pivots of one bucket in one round, at most: few at first, as most of a large group joins its main
 #: class through them, and more for what is left; the last number holds for all further rounds.
 PIVOTS = (2, 4, 16, 64, 256)
+#: Members of a bucket in one tile.
+BLOCK = 4096
 SKETCH = "doc_id long, node binary, n long, sketches array<long>, parity array<long>"
 
 
@@ -217,7 +221,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): each node of an edge (a, b) with the smallest node of its component."""
     e = common.stage(edges.filter("a <> b").distinct(), "edges")
-    before = None
+    before = old = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -226,7 +230,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.toDF("a", "b"))
-        e = common.stage(small.distinct(), "edges")
+        if old is not None:
+            common.drop(old)
+        old, e = e, common.stage(small.distinct(), "edges")
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
@@ -246,6 +252,70 @@ def _candidates(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return common.stage(once.join(a, "a").join(b, "b").filter(near & alike).select("a", "b"), "pairs")
 
 
+def _meet(batches) -> Iterator[pa.RecordBatch]:
+    """Of each tile (rows sorted by bucket and block) the pairs of a pivot and a member of other classes whose sizes
+    and parities leave a link possible."""
+    pending: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = np.stack([b.column("bucket").to_numpy(), b.column("block").to_numpy()], 1)
+        new = (np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()
+        if pending:
+            last = pending[-1]
+            at = [last.column(x)[last.num_rows - 1].as_py() for x in ("bucket", "block")]
+            if key[0].tolist() != at:
+                new = [0, *new]
+        start = 0
+        for end in new:
+            if end > start:
+                pending.append(b.slice(start, end - start))
+            yield from _tile(pending)
+            pending, start = [], end
+        pending.append(b.slice(start))
+    if pending:
+        yield from _tile(pending)
+
+
+def _tile(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    t = pa.Table.from_batches(parts).combine_chunks()
+    is_pivot = t["is_pivot"].to_numpy()
+    pivots, members = np.flatnonzero(is_pivot), np.flatnonzero(~is_pivot)
+    if not len(pivots) or not len(members):
+        return
+    n = t["n"].to_numpy()
+    odd = t["parity"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
+    label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+    node = t["node"].combine_chunks()
+    for at in range(0, len(pivots), 16):
+        p = pivots[at : at + 16]
+        a, b = n[p][:, None], n[members][None, :]
+        may = (label[p][:, None] != label[members][None, :]) & (a * OF >= b * NEAR) & (b * OF >= a * NEAR)
+        x, y = np.nonzero(may)
+        # of a and b shingles, a link has (OF - NEAR) / (NEAR + OF) or less in one text only
+        few = np.bitwise_count(odd[p[x]] ^ odd[members[y]]).sum(1, dtype=np.int64) * (NEAR + OF) <= (a + b)[x, y] * (OF - NEAR)
+        if few.any():
+            yield pa.record_batch({"a": node.take(pa.array(p[x[few]])), "b": node.take(pa.array(members[y[few]]))})
+
+
+def _met(open_: DataFrame, turn: DataFrame, own: DataFrame) -> DataFrame:
+    """Pairs (a, b) that a round has to align. ``open_``: members of open buckets with their label; ``turn``:
+    the pivots of this round."""
+    sized = turn.select("bucket").distinct().join(open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    columns = ["bucket", "block", "node", "label", "n", "is_pivot"]
+    # One row for each bucket that has pivots; every pivot goes to every block of its bucket.
+    members = open_.filter("node <> pivot").join(sized, "bucket")
+    members = members.withColumns({"block": F.pmod(F.xxhash64("node"), blocks).cast("int"), "is_pivot": F.lit(False)})
+    pivots = turn.join(sized, "bucket").select("bucket", F.col("a").alias("node"), F.col("other").alias("label"), F.col("m").alias("n"), blocks.alias("of"))
+    pivots = pivots.withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("of") - 1)), "is_pivot": F.lit(True)})
+    rows = members.select(*columns).unionByName(pivots.select(*columns)).join(own.select("node", "parity"), "node")
+    n = common.width(own.sparkSession)
+    tiles = rows.repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block")
+    met = tiles.mapInArrow(_meet, "a binary, b binary")
+    return common.stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+
+
 def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
     """(node, label) of the nodes that share a sketch with another node. ``sketches``: one row per
     node, staged; ``documents``: node and text of every document."""
@@ -255,19 +325,21 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
     wanted = members.select("node").distinct()
     own = common.stage(sketches.drop("sketches").join(wanted, "node"), "sketches")
     texts = common.stage(documents.join(wanted, "node").dropDuplicates(["node"]), "candidates")
-    labels = own.select("node", F.col("node").alias("label"))
+    labels = common.stage(own.select("node", F.col("node").alias("label")), "labels")
 
-    pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    pairs = _candidates(members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")), own)
     turned = members.select("bucket", F.col("pivot").alias("node")).distinct()  # who has been a pivot where
     for round_ in itertools.count():
-        links = common.stage(verified(_candidates(pairs, own), texts), "links")
+        links = common.stage(verified(pairs, texts), "links")
         if not links.isEmpty():
             # Contract: only the labels that the new links join go through the components.
             ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"l_{x}")) for x in "ab"]
             edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("l_a").alias("a"), F.col("l_b").alias("b"))
             merged = components(edges).toDF("label", "root")
-            labels = labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
-            labels = common.stage(labels, "labels")
+            joined = labels.join(merged, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+            old, labels = labels, common.stage(joined, "labels")
+            common.drop(old)
+        common.drop(pairs, links)
         of = members.join(labels, "node")
         counts = of.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         main = counts.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("classes"))
@@ -281,10 +353,10 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
             "pivots",
         )
         if turn.isEmpty():
+            common.drop(open_, members, own, texts)
             return labels
-        near = (F.col("n") * OF >= F.col("m") * NEAR) & (F.col("m") * OF >= F.col("n") * NEAR)
-        pairs = open_.join(turn, "bucket").filter(near & (F.col("label") != F.col("other")) & (F.col("node") != F.col("pivot")))
-        pairs = pairs.select("a", F.col("node").alias("b"))
+        pairs = _met(open_, turn, own)
+        common.drop(open_)
         turned = turned.unionByName(turn.select("bucket", F.col("a").alias("node")))
 
 
