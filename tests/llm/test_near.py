@@ -184,7 +184,7 @@ def test_tiles_meet_whatever_the_batches(monkeypatch):
         for block in range(3):
             base = rnd.integers(-(2**63), 2**63, 16)
             for i in range(int(rnd.integers(1, 60))):
-                flips = np.array([1 << int(rnd.integers(0, 63)) if rnd.random() < 0.5 else 0 for _ in range(16)], np.int64)
+                flips = np.array([1 << int(rnd.integers(0, 63)) if rnd.random() < 0.3 else 0 for _ in range(16)], np.int64)
                 node, label = f"{bucket}{block}{i}".encode(), f"l{rnd.integers(0, 5)}".encode()
                 rows.append((bucket, block, node, label, int(rnd.integers(40, 60)), bool(rnd.random() < 0.3), base ^ flips))
     want = set()
