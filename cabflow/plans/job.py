@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from cabflow.operators import kpis, matching, ml, profile, quality, questions
 from cabflow.operators.enrich import add_ymd, analytics_base, question_base
 from cabflow.operators.report import etl_report
-from cabflow.schemas import KEY
+from cabflow.schemas import FARE_SCHEMA, KEY, TRIP_SCHEMA
 from cabflow.session import Sizes, build_session, input_bytes, remove_path, scratch_dir, sized_for, sizes_for
 from cabflow.sinks import writers
-from cabflow.sources import feeds
+from cabflow.sources import feeds, malformed
 
 
 # The folders and file names below the output root, and the option names and defaults
@@ -114,6 +114,12 @@ def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fa
          sizes: Sizes | None) -> None:
     buckets = sizes.buckets if sizes else int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged: dict[str, str] = {}
+    faults = {}
+    checked = {"trips": (trips_raw, TRIP_SCHEMA), "fares": (fares_raw, FARE_SCHEMA)}
+    if malformed.is_checked(trips_raw):
+        trips_raw, faults["trips"] = malformed.observe_faults(trips_raw, TRIP_SCHEMA, "trips")
+    if malformed.is_checked(fares_raw):
+        fares_raw, faults["fares"] = malformed.observe_faults(fares_raw, FARE_SCHEMA, "fares")
     try:
         # 1. one pass over each raw feed: dedup + tag, staged as bucketed Parquet; the
         #    reject stats are observed during these writes (no second pass for them).
@@ -127,10 +133,17 @@ def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fa
         good_f, bad_f = quality.split(tf)
         trip_stats = quality.stats_from_observation(spark, obs_t, "trips")
         fare_stats = quality.stats_from_observation(spark, obs_f, "fares")
+        if "trips" in faults:
+            trip_stats = trip_stats.unionByName(malformed.faults_from_observation(spark, faults["trips"], "trips"))
+        if "fares" in faults:
+            fare_stats = fare_stats.unionByName(malformed.faults_from_observation(spark, faults["fares"], "fares"))
 
         # 2. quarantine: parallel CSV writers over the staged tables.
         writers.write_csv(bad_t, f"{p.quarantine}/invalid_trips.csv")
         writers.write_csv(bad_f, f"{p.quarantine}/invalid_fares.csv")
+        for feed, seen in faults.items():
+            if seen.get[malformed.ROWS]:  # another scan of the feed, only if there is something to keep
+                writers.write_csv(malformed.quarantine(*checked[feed]), f"{p.quarantine}/malformed_{feed}.csv")
 
         # 3. match on the bucketed tables (sort-merge join, no exchange). The join runs twice:
         #    once for the matched rows (Inner) -> processed layout, and once as a full outer
@@ -238,6 +251,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--weather-path", default=os.environ.get("WEATHER_CSV_PATH"))
     ap.add_argument("--refresh-weather", action="store_true", help="re-prepare weather even if a copy exists")
     ap.add_argument("--train-ml", action="store_true")
+    ap.add_argument("--bind-by-position", action="store_true",
+                    help="take the columns of the raw files in the order of the schema, whatever their headers say")
     ap.add_argument("--no-autosize", action="store_true",
                     help="keep spark.sql.shuffle.partitions as configured instead of sizing it from the input")
     args = ap.parse_args(argv)
@@ -260,7 +275,8 @@ def main(argv: list[str] | None = None) -> int:
                 current = int(spark.conf.get("spark.sql.shuffle.partitions"))
                 sizes = sizes_for(input_bytes(spark, [trips_path, fares_path]), current)
                 print(f"sized from input: {sizes}")
-            trips, fares = feeds.load_trips(spark, trips_path), feeds.load_fares(spark, fares_path)
+            how = {"by_name": not args.bind_by_position, "checked": True}
+            trips, fares = feeds.load_trips(spark, trips_path, **how), feeds.load_fares(spark, fares_path, **how)
             show_input(trips, "trips")
             show_input(fares, "fares")
             res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml, sizes=sizes)

@@ -14,7 +14,7 @@ from cabflow.functions import features as fx
 from cabflow.operators import certificates, enrich, matching, quality, quantiles, questions, tree_sql
 from cabflow.plans import flow
 from cabflow.plans.oracle import FARE_COLS, FARE_VALS, MATCHED_COLS, TRIP_COLS, q, r
-from cabflow.schemas import KEY
+from cabflow.schemas import KEY, TRIP_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -637,7 +637,7 @@ def kpi_summary_long(spark, sf):
 
 from cabflow.session import remove_path, scratch_dir  # noqa: E402
 from cabflow.sinks import writers  # noqa: E402
-from cabflow.sources import dims, feeds, fixtures  # noqa: E402
+from cabflow.sources import dims, feeds, fixtures, headers, malformed  # noqa: E402
 
 
 def _via_csv(spark, df: DataFrame, name: str) -> str:
@@ -656,6 +656,106 @@ def src_fares(spark, sf):
     return feeds.load_fares(spark, _via_csv(spark, fixtures.fares_raw(spark, sf), "fares-csv"))
 
 
+# Faults planted in the trip CSV, by the number k in the hack license: the row loses its last two cells, or gets one
+# more, or has text in a numeric or time cell.
+_K = "CAST(substr(hack_license, 2) AS BIGINT)"
+_SHORT, _LONG = f"{_K} % 47 = 0", f"{_K} % 47 <> 0 AND {_K} % 59 = 0"
+_BAD = {"dropoff_datetime": (f"{_K} % 43 = 1", "1996-13-45 00:00:00"), "passenger_count": (f"{_K} % 37 = 0", "two"),
+        "trip_distance": (f"{_K} % 41 = 0", "\"a, b\"")}
+_RIGHT = f"NOT ({_SHORT}) AND NOT ({_LONG})"
+_FAULTY = " OR ".join([f"({_SHORT})", f"({_LONG})", *[f"({c})" for c, _ in _BAD.values()]])
+
+
+def _broken_trips_csv(spark, sf) -> str:
+    trips = fixtures.trips_raw(spark, sf)
+    cells = []
+    for f in TRIP_SCHEMA.fields:
+        cell = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if f.name.endswith("datetime") else F.col(f.name).cast("string")
+        if f.name in _BAD:
+            cell = F.when(F.expr(_BAD[f.name][0]), F.lit(_BAD[f.name][1])).otherwise(cell)
+        cells.append(F.coalesce(cell, F.lit("")))
+    line = F.concat_ws(",", F.when(F.expr(_SHORT), F.array(*cells[:-2])).when(F.expr(_LONG), F.array(*cells, F.lit("more"))).otherwise(F.array(*cells)))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of each file
+    header = F.lit(",".join(TRIP_SCHEMA.names) + "\n")
+    path = scratch_dir(spark, "broken-csv")
+    trips.select(F.when(first, F.concat(header, line)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@register(
+    "malformed_trips",
+    q(f"SELECT 'trips' AS source, 'malformed_rows' AS metric, count(*) FILTER (WHERE {_FAULTY}) AS value FROM trips_raw"
+      + "".join(f" UNION ALL SELECT 'trips', '{n}', count(*) FROM trips_raw WHERE {c} HAVING count(*) > 0" for n, c in [
+          ("short_row", _SHORT), ("long_row", _LONG), *[(f"bad_{n}", f"({c}) AND {_RIGHT}") for n, (c, _) in _BAD.items()]])),
+)
+def malformed_trips(spark, sf):
+    """Faults of a trip CSV with broken cells, short and long rows, counted per column."""
+    return malformed.fault_counts(feeds.load_trips(spark, _broken_trips_csv(spark, sf), checked=True), TRIP_SCHEMA, "trips")
+
+
+@register(
+    "quarantine_malformed",
+    q("SELECT medallion, hack_license, pickup_datetime, concat_ws('|', "
+      + ", ".join([f"CASE WHEN {_SHORT} THEN 'short_row' END", f"CASE WHEN {_LONG} THEN 'long_row' END",
+                   *[f"CASE WHEN ({c}) AND {_RIGHT} THEN 'bad_{n}' END" for n, (c, _) in _BAD.items()]])
+      + f") AS faults FROM trips_raw WHERE {_FAULTY}"),
+)
+def quarantine_malformed(spark, sf):
+    checked = feeds.load_trips(spark, _broken_trips_csv(spark, sf), checked=True)
+    return malformed.quarantine(checked, TRIP_SCHEMA).select("medallion", "hack_license", "pickup_datetime", "faults")
+
+
+@register(
+    "src_trips_checked",
+    q("SELECT " + ", ".join(
+        f"CASE WHEN {_BAD[c][0]} THEN NULL ELSE {c} END AS {c}" if c in _BAD
+        else f"CASE WHEN {_SHORT} THEN NULL ELSE {c} END AS {c}" if c in TRIP_COLS[-2:] else c for c in TRIP_COLS) + " FROM trips_raw"),
+)
+def src_trips_checked(spark, sf):
+    """The parsed values of the same CSV: what does not parse is NULL, all else is as in a clean file."""
+    return feeds.load_trips(spark, _broken_trips_csv(spark, sf), by_name=True, checked=True).drop(malformed.MALFORMED)
+
+
+# The columns of the trip feed in another order, as some files have them.
+_TURNED = TRIP_COLS[::-1]
+
+
+def _turned_csv(spark, sf) -> str:
+    """One folder with two files' worth of trips: half with the schema's order, half with the columns turned round."""
+    trips = fixtures.trips_raw(spark, sf)
+    odd = F.expr(f"{_K} % 2 = 1")
+    root = scratch_dir(spark, "turned-csv")
+    writers.write_csv(writers.one_partition(trips.filter(~odd)), f"{root}/one")
+    writers.write_csv(writers.one_partition(trips.filter(odd).select(*[F.col(c).alias(f" {c.upper()}") for c in _TURNED])), f"{root}/two")
+    return root
+
+
+@register("src_trips_by_name", q("SELECT * FROM trips_raw"))
+def src_trips_by_name(spark, sf):
+    return feeds.load_trips(spark, _turned_csv(spark, sf), by_name=True)
+
+
+@register(
+    "schema_check",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{f.name}' AS name, '{f.dataType.simpleString()}' AS type, CAST({at} AS INTEGER) AS place, "
+        "CAST(1 AS INTEGER) AS files"
+        for i, f in enumerate(TRIP_SCHEMA.fields) for at in (i, len(TRIP_COLS) - 1 - i)),
+)
+def schema_check(spark, sf):
+    """The schema of the trip feed, and where the header of each file has its columns."""
+    return headers.header_rows(spark, TRIP_SCHEMA, _turned_csv(spark, sf))
+
+
+@register(
+    "schema_trips",
+    " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS position, '{f.name}' AS name, '{t}' AS type" for i, (f, t) in enumerate(
+        zip(TRIP_SCHEMA.fields, ["string"] * 5 + ["timestamp"] * 2 + ["int"] * 2 + ["double"] * 5, strict=True))),
+)
+def schema_trips(spark, sf):
+    return feeds.schema_rows(fixtures.trips_raw(spark, sf))
+
+
 @register("src_weather_hourly", q("SELECT * FROM weather_raw"))
 def src_weather_hourly(spark, sf):
     csv_path = _via_csv(spark, fixtures.weather_csv_frame(spark, sf), "weather-csv")
