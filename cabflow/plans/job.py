@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabflow.operators import kpis, matching, ml, profile, quality, questions
+from cabflow.operators import kpis, matching, ml, partials, profile, quality, questions
 from cabflow.operators.enrich import add_ymd, analytics_base, question_base
 from cabflow.operators.report import etl_report
 from cabflow.schemas import FARE_SCHEMA, KEY, TRIP_SCHEMA
@@ -61,6 +61,10 @@ class Paths:
     def staging(self) -> str:
         return f"{self.output_root.rstrip('/')}/_staging"
 
+    @property
+    def partials(self) -> str:
+        return f"{self.processed}/profile_partials"
+
     @property
     def models(self) -> str:
         return f"{self.processed}/models"
@@ -98,6 +102,7 @@ def run_etl(
     ml_params: ml.ModelParams | None = None,
     analytics: bool = True,
     sizes: Sizes | None = None,
+    incremental: bool = False,
 ) -> RunResult:
     """``sizes`` (see ``session.sizes_for``) hold for the ETL alone; the aggregates after it run
     with the session's own width."""
@@ -106,7 +111,8 @@ def run_etl(
     with sized_for(spark, sizes):
         _etl(spark, p, res, trips_raw, fares_raw, sizes)
     if analytics:
-        res.outputs.update(run_from_processed(spark, output_root, weather, holidays, train_ml, ml_params).outputs)
+        res.outputs.update(run_from_processed(
+            spark, output_root, weather, holidays, train_ml, ml_params, incremental).outputs)
     return res
 
 
@@ -167,21 +173,32 @@ def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fa
             remove_path(spark, path)
 
 
-def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles: bool = False) -> dict[str, str]:
+def run_analytics(base_input: DataFrame, analytics_root: str, exact_percentiles: bool = False,
+                  partials_root: str | None = None) -> dict[str, str]:
     """Overview JSON, numeric stats, KPI tables (one grouping-sets pass, written once,
-    then split per segment from the written copy) and the long summary table."""
+    then split per segment from the written copy) and the long summary table. With ``partials_root`` the three are
+    merged from the per-day partials there (see ``operators.partials``) and no trip is read."""
     spark = base_input.sparkSession
     base = analytics_base(add_ymd(base_input))
     outs = {}
     ov_path = f"{analytics_root}/overview.json"
-    seen, stats = profile.overview_and_stats(base)
     stats_path = f"{analytics_root}/numeric_stats"
-    writers.write_parquet(writers.one_partition(stats), stats_path)  # one scan fills the overview too
-    writers.write_json_doc(profile.overview_from_observation(base, seen), ov_path)
+    if partials_root:
+        writers.write_parquet(writers.one_partition(partials.numeric_stats(spark, partials_root)), stats_path)
+        writers.write_json_doc(profile.with_schema(partials.overview(spark, partials_root), base), ov_path)
+        grouped = partials.kpi_grouping_sets(spark, partials_root)
+    else:
+        grouped = None
+    if grouped is None:
+        grouped = kpis.kpi_grouping_sets(base, exact=exact_percentiles)
+    if not partials_root:
+        seen, stats = profile.overview_and_stats(base)
+        writers.write_parquet(writers.one_partition(stats), stats_path)  # one scan fills the overview too
+        writers.write_json_doc(profile.overview_from_observation(base, seen), ov_path)
     outs["overview"] = ov_path
     writers.write_csv(spark.read.parquet(stats_path), f"{analytics_root}/numeric_stats_csv", single_file=True)
     grouped_path = f"{analytics_root}/kpi_grouping_sets"
-    writers.write_parquet(writers.one_partition(kpis.kpi_grouping_sets(base, exact=exact_percentiles)), grouped_path)
+    writers.write_parquet(writers.one_partition(grouped), grouped_path)
     grouped = spark.read.parquet(grouped_path)
     for seg in kpis.SEGMENTS:
         writers.write_csv(kpis.kpi_segment(grouped, seg), f"{analytics_root}/{seg}", single_file=True)
@@ -219,12 +236,17 @@ def run_from_processed(
     holidays: DataFrame | None = None,
     train_ml: bool = False,
     ml_params: ml.ModelParams | None = None,
+    incremental: bool = False,
 ) -> RunResult:
+    """``incremental``: the analytics come from per-day partials, of which only those of changed days are made anew."""
     p = Paths(output_root)
     res = RunResult()
     processed = feeds.load_processed(spark, p.processed)
     show_input(processed, "processed trips")
-    res.outputs.update(run_analytics(processed, p.analytics))
+    if incremental:
+        days = partials.refresh(spark, p.processed, p.partials)
+        print(f"profile partials: {len(days)} days read")
+    res.outputs.update(run_analytics(processed, p.analytics, partials_root=p.partials if incremental else None))
     res.outputs.update(run_questions(processed, p.questions, weather, holidays))
     if train_ml:
         metrics = ml.run_ml(processed, output_path=p.models, params=ml_params)
@@ -251,6 +273,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--weather-path", default=os.environ.get("WEATHER_CSV_PATH"))
     ap.add_argument("--refresh-weather", action="store_true", help="re-prepare weather even if a copy exists")
     ap.add_argument("--train-ml", action="store_true")
+    ap.add_argument("--incremental", action="store_true",
+                    help="profile and KPIs from per-day partials; only days whose files changed are read")
     ap.add_argument("--bind-by-position", action="store_true",
                     help="take the columns of the raw files in the order of the schema, whatever their headers say")
     ap.add_argument("--no-autosize", action="store_true",
@@ -266,7 +290,7 @@ def main(argv: list[str] | None = None) -> int:
         if weather is None:
             print("weather: no prepared copy and no CSV; weather questions are skipped")
         if args.parquet_only:
-            run_from_processed(spark, args.output_root, weather, train_ml=args.train_ml)
+            run_from_processed(spark, args.output_root, weather, train_ml=args.train_ml, incremental=args.incremental)
         else:
             trips_path = feeds.trips_path(spark, args.trips, args.data_root, args.sample)
             fares_path = feeds.fares_path(spark, args.fares, args.data_root, args.sample)
@@ -279,7 +303,8 @@ def main(argv: list[str] | None = None) -> int:
             trips, fares = feeds.load_trips(spark, trips_path, **how), feeds.load_fares(spark, fares_path, **how)
             show_input(trips, "trips")
             show_input(fares, "fares")
-            res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml, sizes=sizes)
+            res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml, sizes=sizes,
+                          incremental=args.incremental)
             res.report.show(truncate=False)
         status = 0
         print("completed successfully")

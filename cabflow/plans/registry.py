@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cabflow.functions import features as fx
-from cabflow.operators import certificates, enrich, matching, quality, quantiles, questions, tree_sql
+from cabflow.operators import certificates, enrich, matching, partials, quality, quantiles, questions, tree_sql
+from cabflow.operators.enrich import analytics_base
 from cabflow.plans import flow
 from cabflow.plans.oracle import FARE_COLS, FARE_VALS, MATCHED_COLS, TRIP_COLS, q, r
 from cabflow.schemas import KEY, TRIP_SCHEMA
+from cabflow.session import remove_path, scratch_dir
+from cabflow.sinks import writers
+from cabflow.sources import dims, feeds, fixtures, headers, malformed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -585,6 +589,59 @@ def profile_quantiles_approx(spark, sf):
                                       profile.QUANTILE_PROBS, profile.QUANTILE_NAMES, accuracy)
 
 
+# ---- incremental profile -------------------------------------------------------------------------
+
+
+def _partials(spark, sf) -> tuple[str, str]:
+    """(processed root, root of the partials) of a layout one day of which was wrong, was profiled, and was replaced:
+    the merged tables are right only if the refresh reads the replaced day, and it may read no other."""
+    root = scratch_dir(spark, "incremental")
+    table = f"{root}/{feeds.PROCESSED_TABLE}"
+    writers.write_processed(flow.fixture_matched(spark, sf), table)
+    trips = feeds.load_processed(spark, root)
+    day = min(partials.day_digests(trips))
+    whole_day = F.make_date("year", "month", "day") == F.lit(day)
+    trips.filter(whole_day).write.parquet(f"{root}/right")
+    right = spark.read.schema(trips.schema).parquet(f"{root}/right")
+    writers.write_processed(right.unionByName(right), table)
+    partials.refresh(spark, root, f"{root}/partials")
+    writers.write_processed(right, table)
+    read = partials.refresh(spark, root, f"{root}/partials")
+    if read != [day]:
+        raise AssertionError(f"refreshed {read}, not only {day}")
+    return root, f"{root}/partials"
+
+
+@register("profile_partials", ORACLES["profile_numeric"])
+def profile_partials(spark, sf):
+    stats = partials.numeric_stats(spark, _partials(spark, sf)[1])
+    return stable(stats.drop(*profile.QUANTILE_NAMES))
+
+
+@register("profile_partials_quantiles", ORACLES["profile_quantiles_approx"])
+def profile_partials_quantiles(spark, sf):
+    """Quantiles of the merged sketches keep their rank bound."""
+    root, parts = _partials(spark, sf)
+    base = analytics_base(feeds.load_processed(spark, root))
+    return quantiles.rank_bounds_hold(profile.stacked(base), ["column"], "v", partials.numeric_stats(spark, parts),
+                                      profile.QUANTILE_PROBS, profile.QUANTILE_NAMES, int(round(1 / partials.RANK_ERROR)))
+
+
+@register("kpi_partials", q(f"SELECT * EXCLUDE (p50_total_amount, p95_total_amount) FROM ({_KPI_GS_SQL})"))
+def kpi_partials(spark, sf):
+    merged = partials.kpi_grouping_sets(spark, _partials(spark, sf)[1])
+    return stable(merged.drop(*[n for n, _ in kpis.PERCENTILES]))
+
+
+@register("kpi_partials_quantiles", ORACLES["kpi_grouping_sets_approx"])
+def kpi_partials_quantiles(spark, sf):
+    root, parts = _partials(spark, sf)
+    rows, keys = kpis.segment_rows(analytics_base(feeds.load_processed(spark, root)))
+    names, probs = zip(*kpis.PERCENTILES, strict=True)
+    merged = partials.kpi_grouping_sets(spark, parts)
+    return quantiles.rank_bounds_hold(rows, keys, "total_amount", merged, probs, names, int(round(1 / partials.RANK_ERROR)))
+
+
 def _fmt_sql(expr: str, kind: str) -> str:
     if kind == "int":
         return f"coalesce(CAST(CAST({expr} AS BIGINT) AS VARCHAR), '')"
@@ -635,9 +692,6 @@ def kpi_summary_long(spark, sf):
 
 # ---- sources -----------------------------------------------------------------------------------
 
-from cabflow.session import remove_path, scratch_dir  # noqa: E402
-from cabflow.sinks import writers  # noqa: E402
-from cabflow.sources import dims, feeds, fixtures, headers, malformed  # noqa: E402
 
 
 def _via_csv(spark, df: DataFrame, name: str) -> str:
