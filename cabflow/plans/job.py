@@ -31,7 +31,7 @@ from cabflow.operators.enrich import add_ymd, analytics_base, question_base
 from cabflow.operators.report import etl_report
 from cabflow.schemas import FARE_SCHEMA, KEY, TRIP_SCHEMA
 from cabflow.session import Sizes, build_session, input_bytes, remove_path, scratch_dir, sized_for, sizes_for
-from cabflow.sinks import writers
+from cabflow.sinks import manifest, writers
 from cabflow.sources import feeds, malformed
 
 
@@ -103,13 +103,15 @@ def run_etl(
     analytics: bool = True,
     sizes: Sizes | None = None,
     incremental: bool = False,
+    track_changes: bool = False,
 ) -> RunResult:
-    """``sizes`` (see ``session.sizes_for``) hold for the ETL alone; the aggregates after it run
+    """``track_changes``: only days whose input differs from the manifest's are matched and written (see
+    ``sinks.manifest``). ``sizes`` (see ``session.sizes_for``) hold for the ETL alone; the aggregates after it run
     with the session's own width."""
     p = Paths(output_root)
     res = RunResult()
     with sized_for(spark, sizes):
-        _etl(spark, p, res, trips_raw, fares_raw, sizes)
+        _etl(spark, p, res, trips_raw, fares_raw, sizes, track_changes)
     if analytics:
         res.outputs.update(run_from_processed(
             spark, output_root, weather, holidays, train_ml, ml_params, incremental).outputs)
@@ -117,7 +119,7 @@ def run_etl(
 
 
 def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fares_raw: DataFrame,
-         sizes: Sizes | None) -> None:
+         sizes: Sizes | None, track_changes: bool = False) -> None:
     buckets = sizes.buckets if sizes else int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged: dict[str, str] = {}
     faults = {}
@@ -154,9 +156,18 @@ def _etl(spark: SparkSession, p: Paths, res: RunResult, trips_raw: DataFrame, fa
         # 3. match on the bucketed tables (sort-merge join, no exchange). The join runs twice:
         #    once for the matched rows (Inner) -> processed layout, and once as a full outer
         #    pass that writes the unmatched table while the match stats are observed.
-        out = matching.match(good_t, good_f)
-        writers.write_processed(out[matching.MATCHED], f"{p.processed}/{feeds.PROCESSED_TABLE}",
-                                pieces=writers.day_pieces(good_t))
+        table = f"{p.processed}/{feeds.PROCESSED_TABLE}"
+        if track_changes:
+            digests = manifest.input_digests(good_t, good_f)
+            days = manifest.changed_days(digests, manifest.current(spark, table))
+            print(f"days to match: {len(days)} of {len(digests)}")
+            if days:
+                t, f = manifest.of_days(good_t, days), manifest.of_days(good_f, days)
+                matched = matching.match(t, f)[matching.MATCHED]
+                manifest.publish(matched, table, days, digests, pieces=writers.day_pieces(t))
+        else:
+            out = matching.match(good_t, good_f)
+            writers.write_processed(out[matching.MATCHED], table, pieces=writers.day_pieces(good_t))
         unmatched, match_obs = matching.unmatched_with_stats(good_t, good_f)
         writers.write_csv(unmatched, f"{p.quarantine}/unmatched_data.csv")
         match_stats = matching.stats_from_observation(spark, match_obs)
@@ -277,6 +288,8 @@ def main(argv: list[str] | None = None) -> int:
                     help="profile and KPIs from per-day partials; only days whose files changed are read")
     ap.add_argument("--bind-by-position", action="store_true",
                     help="take the columns of the raw files in the order of the schema, whatever their headers say")
+    ap.add_argument("--track-changes", action="store_true",
+                    help="keep a manifest of the processed days; match and write only days whose input changed")
     ap.add_argument("--no-autosize", action="store_true",
                     help="keep spark.sql.shuffle.partitions as configured instead of sizing it from the input")
     args = ap.parse_args(argv)
@@ -304,7 +317,7 @@ def main(argv: list[str] | None = None) -> int:
             show_input(trips, "trips")
             show_input(fares, "fares")
             res = run_etl(spark, trips, fares, args.output_root, weather, train_ml=args.train_ml, sizes=sizes,
-                          incremental=args.incremental)
+                          incremental=args.incremental, track_changes=args.track_changes)
             res.report.show(truncate=False)
         status = 0
         print("completed successfully")

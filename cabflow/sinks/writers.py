@@ -31,9 +31,10 @@ def day_pieces(trips: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFram
         *PARTITION_COLS, F.ceil(F.col("n") / F.lit(rows_per_file)).alias("pieces"))
 
 
-def write_processed(df: DataFrame, path: str, num_partitions: int | None = None, pieces: DataFrame | None = None) -> None:
+def write_processed(df: DataFrame, path: str, num_partitions: int | None = None, pieces: DataFrame | None = None,
+                    mode: str = "overwrite") -> None:
     """Matched trips -> Parquet partitioned by pickup ``year, month, day`` (overwrite with
-    dynamic partition mode: only the days present in ``df`` are replaced).
+    dynamic partition mode: only the days present in ``df`` are replaced; ``append`` adds files).
 
     Rows are dealt by hash of the day, and of a salt from the key where ``pieces`` (see
     ``day_pieces``) gives the day several, so ``df`` (the match) is computed once: a range
@@ -49,7 +50,7 @@ def write_processed(df: DataFrame, path: str, num_partitions: int | None = None,
     out = out.repartition(n, *PARTITION_COLS, salt).sortWithinPartitions(*PARTITION_COLS, "pickup_datetime")
     out = out.select(*df.columns, *[c for c in PARTITION_COLS if c not in df.columns])
     # Per-write option: only this write uses dynamic overwrite, the session is left alone.
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path)
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path)
 
 
 def one_partition(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
