@@ -20,15 +20,15 @@ A bucket (texts with one sketch) is not expanded into all its pairs:
 
 1. Equal texts are one node. Every member of a bucket is compared with the bucket's first node, and the
    links give classes (connected components, by alternating large-star and small-star steps).
-2. In a bucket with several classes left, members outside its main class take turns as pivots, a
-   few at a time (``PIVOTS``), and are compared with all members of other classes, until every pair of
+2. In a bucket with several classes left, members outside its main class become pivots, first a
+   few (``PIVOTS``), then all, and are compared with all members of other classes, until every pair of
    members is in one class or has been compared. So no candidate link between different texts is
    lost, whatever the size of a bucket, and a group of copies costs as many alignments as it has
    members. To compare is first to look at the sizes and at the parity of the k-mers in ``PARITY``
    slots: every odd slot of the two texts together has a k-mer that only one of them has, and of these
    a link has few. Only what that leaves is aligned, and no link is lost by it. The first look happens
-   in tiles, the pivots of a bucket against a block of about ``BLOCK`` members as arrays, and only pairs
-   that pass it become rows.
+   in tiles, a block of about ``BLOCK`` pivots of a bucket against a block of as many members as arrays, and
+   only pairs that pass it become rows.
 
 All tables (sketches, pairs, links, classes) are Spark tables, staged in the shared folder.
 
@@ -56,10 +56,10 @@ REPEATS, SAMPLED = 24, 4
 SHORT, PARITY = 24, 1024
 #: The threshold as a fraction, 8 / 10.
 NEAR, OF = 8, 10
-#: Pivots of one bucket in one round, at most: few at first, as most of a large group joins its main
-#: class through them, and more for what is left; the last number holds for all further rounds.
-PIVOTS = (2, 4, 16, 64, 256)
-#: Members of a bucket in one tile.
+#: Pivots of one bucket in the first rounds, at most: few, as most of a large group joins its main class through
+#: them. In the round after these, all members outside the main class are pivots.
+PIVOTS = (2, 8)
+#: Members, and pivots, of a bucket in one tile.
 BLOCK = 4096
 SKETCH = "doc_id long, node binary, n long, sketches array<long>, parity array<long>"
 
@@ -301,15 +301,22 @@ def _tile(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _met(open_: DataFrame, turn: DataFrame, own: DataFrame) -> DataFrame:
     """Pairs (a, b) that a round has to align. ``open_``: members of open buckets with their label; ``turn``:
     the pivots of this round."""
-    sized = turn.select("bucket").distinct().join(open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sized = turn.groupBy("bucket").agg(F.count(F.lit(1)).alias("turns")).join(sizes, "bucket").select(
+        "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("turns") / BLOCK).cast("int").alias("cols"))
     columns = ["bucket", "block", "node", "label", "n", "is_pivot"]
-    # One row for each bucket that has pivots; every pivot goes to every block of its bucket.
-    members = open_.filter("node <> pivot").join(sized, "bucket")
-    members = members.withColumns({"block": F.pmod(F.xxhash64("node"), blocks).cast("int"), "is_pivot": F.lit(False)})
-    pivots = turn.join(sized, "bucket").select("bucket", F.col("a").alias("node"), F.col("other").alias("label"), F.col("m").alias("n"), blocks.alias("of"))
-    pivots = pivots.withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("of") - 1)), "is_pivot": F.lit(True)})
-    rows = members.select(*columns).unionByName(pivots.select(*columns)).join(own.select("node", "parity"), "node")
+
+    def dealt(df: DataFrame, own_blocks: str, other_blocks: str, row: bool) -> DataFrame:
+        """Each row goes to one block of its own side, and to all blocks of the other."""
+        mine = F.pmod(F.xxhash64("node"), F.col(own_blocks)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1))
+        df = df.join(sized, "bucket").select("*", mine.alias("mine"), other.alias("other_block"))
+        tile = F.col("mine") * F.col("cols") + F.col("other_block") if row else F.col("other_block") * F.col("cols") + F.col("mine")
+        return df.withColumns({"block": tile, "is_pivot": F.lit(not row)}).select(*columns)
+
+    members = dealt(open_.filter("node <> pivot").select("bucket", "node", "label", "n"), "rows", "cols", True)
+    pivots = turn.select("bucket", F.col("a").alias("node"), F.col("other").alias("label"), F.col("m").alias("n"))
+    rows = members.unionByName(dealt(pivots, "cols", "rows", False)).join(own.select("node", "parity"), "node")
     n = common.width(own.sparkSession)
     tiles = rows.repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block")
     met = tiles.mapInArrow(_meet, "a binary, b binary")
@@ -340,17 +347,19 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
             old, labels = labels, common.stage(joined, "labels")
             common.drop(old)
         common.drop(pairs, links)
+        if round_ > len(PIVOTS):  # all have been pivots
+            common.drop(members, own, texts)
+            return labels
         of = members.join(labels, "node")
         counts = of.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         main = counts.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("classes"))
         open_ = common.stage(of.join(main.filter("classes > 1").drop("classes"), "bucket"), "open")
+        waiting = open_.filter("label <> main").join(turned, ["bucket", "node"], "left_anti")
+        if round_ < len(PIVOTS):
+            slot = F.pmod(F.xxhash64("node"), F.lit(PIVOTS[round_])).alias("slot")
+            waiting = waiting.groupBy("bucket", slot).agg(F.min(F.struct("node", "label", "n")).alias("p")).select("bucket", "p.*")
         turn = common.stage(
-            open_.filter("label <> main")
-            .join(turned, ["bucket", "node"], "left_anti")
-            .groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(PIVOTS[min(round_, len(PIVOTS) - 1)])).alias("slot"))
-            .agg(F.min(F.struct("node", "label", "n")).alias("p"))
-            .select("bucket", F.col("p.node").alias("a"), F.col("p.label").alias("other"), F.col("p.n").alias("m")),
-            "pivots",
+            waiting.select("bucket", F.col("node").alias("a"), F.col("label").alias("other"), F.col("n").alias("m")), "pivots"
         )
         if turn.isEmpty():
             common.drop(open_, members, own, texts)

@@ -106,7 +106,8 @@ def test_classes_against_brute_force(spark, monkeypatch):
         rows.append(" ".join(chain))
         chain = edited(rnd, chain, 2)
     docs = awkward(spark, [(100 + i, t) for i, t in enumerate(rows)])
-    monkeypatch.setattr(near_dedup, "PIVOTS", (1, 2, 8))
+    monkeypatch.setattr(near_dedup, "PIVOTS", (1, 2))
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
     assert got(near_dedup.find_classes(docs)) == want(pairs(docs))
     kept = near_dedup.drop_near_copies(docs)
     assert kept.columns == docs.columns
