@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm import common
+from cabflow.llm import common, presence
 from cabflow.llm import kernels as k
 
 #: A block is closed once it holds so many words or documents; batches are cut to so many rows.
@@ -308,4 +308,4 @@ def drop_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshol
     rated = scorer.scores(docs.select(node.alias("key"), text.alias("text")))
     rejected = common.stage(rated.filter(F.col("score") >= threshold).select("key").distinct(), "rejected")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("key"))
-    return rows.join(rejected, "key", "left_anti").select("row.*")
+    return presence.without_keys(rows, rejected).select("row.*")
