@@ -27,7 +27,7 @@ def _filter_of(keys: DataFrame) -> tuple[np.ndarray, int]:
     n = keys.count()
     bits = min(MOST_BITS, 1 << max(10, (n * BITS_PER_KEY - 1).bit_length()))
     at = F.explode(F.array(*_places(F.col("key"), bits))).alias("at")
-    one = F.shiftleft(F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    one = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
     rows = keys.select(at).select(F.shiftright("at", 6).alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     found = rows.toPandas()  # at most MOST_BITS / 64 rows
     words = np.zeros(max(1, bits // 64), np.uint64)
