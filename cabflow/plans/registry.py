@@ -838,6 +838,19 @@ def dim_holidays(spark, sf):
     return dims.holidays_covering(fixtures.trips_raw(spark, sf))
 
 
+@register(
+    "holiday_flags",
+    q("SELECT d AS pickup_date, CASE WHEN h.date IS NULL THEN 0 ELSE 1 END AS is_holiday FROM days LEFT JOIN holidays h ON h.date = d "
+      "WHERE year(d) BETWEEN (SELECT min(year(pickup_datetime)) FROM trips_raw) AND (SELECT max(year(pickup_datetime)) FROM trips_raw)"),
+)
+def holiday_flags(spark, sf):
+    """The flag expression that the job uses, on every day of the years that the trips touch."""
+    span = fixtures.trips_raw(spark, sf).agg(F.min(F.year("pickup_datetime")).alias("y0"), F.max(F.year("pickup_datetime")).alias("y1"))
+    every = F.sequence(F.make_date("y0", F.lit(1), F.lit(1)), F.make_date("y1", F.lit(12), F.lit(31)))
+    days = span.select(F.explode(every).alias("day")).select(F.col("day").cast("timestamp").alias("pickup_datetime"))
+    return enrich.add_holidays(days).select("pickup_date", "is_holiday")
+
+
 @register("preview_trips")
 def preview_trips(spark, sf):
     return feeds.preview(fixtures.trips_raw(spark, sf))

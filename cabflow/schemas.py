@@ -12,6 +12,7 @@ from pyspark.sql.types import (
 # Composite key shared by trips and fares (dedup and matching).
 KEY = ["medallion", "hack_license", "vendor_id", "pickup_datetime"]
 
+# The columns of the raw trip feed, in file order.
 TRIP_SCHEMA = StructType(
     [
         StructField("medallion", StringType(), True),
@@ -31,6 +32,7 @@ TRIP_SCHEMA = StructType(
     ]
 )
 
+# The columns of the raw fare feed, in file order.
 FARE_SCHEMA = StructType(
     [
         StructField("medallion", StringType(), True),
