@@ -252,9 +252,10 @@ def _candidates(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return common.stage(once.join(a, "a").join(b, "b").filter(near & alike).select("a", "b"), "pairs")
 
 
-def _meet(batches) -> Iterator[pa.RecordBatch]:
+def _meet(batches, once: bool = False) -> Iterator[pa.RecordBatch]:
     """Of each tile (rows sorted by bucket and block) the pairs of a pivot and a member of other classes whose sizes
-    and parities leave a link possible."""
+    and parities leave a link possible. With ``once``, a pair that shares sketches is told by the bucket of the first
+    of them alone. (For the last round: there too, one of the two is a pivot, or was one before and met the other.)"""
     pending: list[pa.RecordBatch] = []
     for b in batches:
         if not b.num_rows:
@@ -270,14 +271,14 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
         for end in new:
             if end > start:
                 pending.append(b.slice(start, end - start))
-            yield from _tile(pending)
+            yield from _tile(pending, once)
             pending, start = [], end
         pending.append(b.slice(start))
     if pending:
-        yield from _tile(pending)
+        yield from _tile(pending, once)
 
 
-def _tile(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tile(parts: list[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(parts).combine_chunks()
     is_pivot = t["is_pivot"].to_numpy()
     pivots, members = np.flatnonzero(is_pivot), np.flatnonzero(~is_pivot)
@@ -287,6 +288,8 @@ def _tile(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     odd = t["parity"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
     label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy()
     node = t["node"].combine_chunks()
+    sketches = t["firsts"].combine_chunks().flatten().to_numpy().reshape(len(n), REPEATS)
+    bucket = t["bucket"][0].as_py()
     for at in range(0, len(pivots), 16):
         p = pivots[at : at + 16]
         a, b = n[p][:, None], n[members][None, :]
@@ -294,13 +297,19 @@ def _tile(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = np.nonzero(may)
         # of a and b shingles, a link has (OF - NEAR) / (NEAR + OF) or less in one text only
         few = np.bitwise_count(odd[p[x]] ^ odd[members[y]]).sum(1, dtype=np.int64) * (NEAR + OF) <= (a + b)[x, y] * (OF - NEAR)
-        if few.any():
-            yield pa.record_batch({"a": node.take(pa.array(p[x[few]])), "b": node.take(pa.array(members[y[few]]))})
+        one, two = p[x[few]], members[y[few]]
+        if once:
+            common_ones = sketches[one] == sketches[two]
+            first = sketches[one, common_ones.argmax(1)]
+            here = ~common_ones.any(1) | (first == bucket)  # texts that share only a short key are told by each
+            one, two = one[here], two[here]
+        if len(one):
+            yield pa.record_batch({"a": node.take(pa.array(one)), "b": node.take(pa.array(two))})
 
 
-def _met(open_: DataFrame, turn: DataFrame, own: DataFrame) -> DataFrame:
+def _met(open_: DataFrame, turn: DataFrame, own: DataFrame, last: bool) -> DataFrame:
     """Pairs (a, b) that a round has to align. ``open_``: members of open buckets with their label; ``turn``:
-    the pivots of this round."""
+    the pivots of this round; ``last``: these are all that are left."""
     sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     sized = turn.groupBy("bucket").agg(F.count(F.lit(1)).alias("turns")).join(sizes, "bucket").select(
         "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("turns") / BLOCK).cast("int").alias("cols"))
@@ -316,10 +325,10 @@ def _met(open_: DataFrame, turn: DataFrame, own: DataFrame) -> DataFrame:
 
     members = dealt(open_.filter("node <> pivot").select("bucket", "node", "label", "n"), "rows", "cols", True)
     pivots = turn.select("bucket", F.col("a").alias("node"), F.col("other").alias("label"), F.col("m").alias("n"))
-    rows = members.unionByName(dealt(pivots, "cols", "rows", False)).join(own.select("node", "parity"), "node")
+    rows = members.unionByName(dealt(pivots, "cols", "rows", False)).join(own.select("node", "parity", "firsts"), "node")
     n = common.width(own.sparkSession)
     tiles = rows.repartition(n, "bucket", "block").sortWithinPartitions("bucket", "block")
-    met = tiles.mapInArrow(_meet, "a binary, b binary")
+    met = tiles.mapInArrow(lambda batches: _meet(batches, last), "a binary, b binary")
     return common.stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
 
@@ -330,7 +339,8 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
     pivot = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = common.stage(members.join(pivot, "bucket").drop("size"), "buckets")
     wanted = members.select("node").distinct()
-    own = common.stage(sketches.drop("sketches").join(wanted, "node"), "sketches")
+    firsts = F.slice("sketches", 1, REPEATS).alias("firsts")  # without the keys of short texts
+    own = common.stage(sketches.select("node", "n", "parity", firsts).join(wanted, "node"), "sketches")
     texts = common.stage(documents.join(wanted, "node").dropDuplicates(["node"]), "candidates")
     labels = common.stage(own.select("node", F.col("node").alias("label")), "labels")
 
@@ -364,7 +374,7 @@ def link_classes(sketches: DataFrame, documents: DataFrame) -> DataFrame:
         if turn.isEmpty():
             common.drop(open_, members, own, texts)
             return labels
-        pairs = _met(open_, turn, own)
+        pairs = _met(open_, turn, own, round_ >= len(PIVOTS))
         common.drop(open_)
         turned = turned.unionByName(turn.select("bucket", F.col("a").alias("node")))
 

@@ -187,19 +187,25 @@ def test_tiles_meet_whatever_the_batches(monkeypatch):
             for i in range(int(rnd.integers(1, 60))):
                 flips = np.array([1 << int(rnd.integers(0, 63)) if rnd.random() < 0.3 else 0 for _ in range(16)], np.int64)
                 node, label = f"{bucket}{block}{i}".encode(), f"l{rnd.integers(0, 5)}".encode()
-                rows.append((bucket, block, node, label, int(rnd.integers(40, 60)), bool(rnd.random() < 0.3), base ^ flips))
-    want = set()
+                firsts = rnd.choice([bucket, bucket + 1, bucket + 2], near_dedup.REPEATS)
+                rows.append((bucket, block, node, label, int(rnd.integers(40, 60)), bool(rnd.random() < 0.3), base ^ flips, firsts))
+    want, told_once = set(), set()
     for r in rows:
         for s in rows:
             near = r[4] * 10 >= s[4] * 8 and s[4] * 10 >= r[4] * 8
             odd = int(np.bitwise_count((r[6] ^ s[6]).view(np.uint64)).sum())
             if r[5] and not s[5] and r[:2] == s[:2] and r[3] != s[3] and near and odd * 18 <= (r[4] + s[4]) * 2:
                 want.add((r[2], s[2]))
-    assert len(want) > 100
+                shared = [int(u) for u, v in zip(r[7], s[7], strict=True) if u == v]
+                if not shared or shared[0] == r[0]:
+                    told_once.add((r[2], s[2]))
+    assert len(want) > 100 and 30 < len(told_once) < len(want)
     schema = pa.schema([("bucket", pa.int64()), ("block", pa.int32()), ("node", pa.binary()), ("label", pa.binary()), ("n", pa.int64()),
-                        ("is_pivot", pa.bool_()), ("parity", pa.list_(pa.int64()))])
+                        ("is_pivot", pa.bool_()), ("parity", pa.list_(pa.int64())), ("firsts", pa.list_(pa.int64()))])
     whole = pa.record_batch([pa.array([x.tolist() if hasattr(x, "tolist") else x for x in c], t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
     for size in (1, 7, 50, 10_000):
         batches = [whole.slice(i, size) for i in range(0, len(rows), size)]
         got = [(a.as_py(), b.as_py()) for r in near_dedup._meet(iter(batches)) for a, b in zip(r.column("a"), r.column("b"))]
         assert len(got) == len(want) and set(got) == want
+        got = [(a.as_py(), b.as_py()) for r in near_dedup._meet(iter(batches), True) for a, b in zip(r.column("a"), r.column("b"))]
+        assert len(got) == len(told_once) and set(got) == told_once
