@@ -51,6 +51,26 @@ def test_grouping_sets_equal_separate_kpis(spark, abase):
                 assert (x == y) or (isinstance(x, float) and abs(x - y) < 1e-6 * max(1, abs(y)))
 
 
+def test_exact_kpis_of_one_segment_compute_the_trips_once(spark, monkeypatch):
+    """Only the named segment is built, and its aggregate and its percentiles read one staged copy."""
+    rows = [(1, 2, 2013, 1, "CRD", "CMT", 1, float(i), 1.0, 2.0, 3.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "pickup_hour int, pickup_dow int, year int, month int, payment_type string, vendor_id string, "
+                                     "passenger_count int, total_amount double, cost_per_km double, cost_per_min double, avg_speed_kmh double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    ranked, real = [], kpis.grouped_exact_quantiles
+    monkeypatch.setattr(kpis, "grouped_exact_quantiles", lambda df, cols, *a: ranked.append(list(cols)) or real(df, cols, *a))
+    out = kpis.segmented_kpis(df.mapInPandas(counted, df.schema), exact=True, only=["kpi_by_hour"])
+    got = [tuple(r) for r in out["kpi_by_hour"].collect()]
+    assert list(out) == ["kpi_by_hour"] and ranked == [["pickup_hour"]] and seen.value == 100
+    assert got == [(1, 49.5, 49.0, 94.0, 1.0, 2.0, 3.0, 100, 4950.0)]
+
+
 def test_kpi_trips_sum_to_rows(spark, abase):
     n = abase.count()
     for name, df in kpis.segmented_kpis(abase).items():
