@@ -775,12 +775,13 @@ _TURNED = TRIP_COLS[::-1]
 
 
 def _turned_csv(spark, sf) -> str:
-    """One folder with two files' worth of trips: half with the schema's order, half with the columns turned round."""
+    """Two files of trips, each a folder of parts as many tasks write it: half of the trips with the schema's order,
+    half with the columns turned round."""
     trips = fixtures.trips_raw(spark, sf)
     odd = F.expr(f"{_K} % 2 = 1")
     root = scratch_dir(spark, "turned-csv")
-    writers.write_csv(writers.one_partition(trips.filter(~odd)), f"{root}/one")
-    writers.write_csv(writers.one_partition(trips.filter(odd).select(*[F.col(c).alias(f" {c.upper()}") for c in _TURNED])), f"{root}/two")
+    writers.write_csv(trips.filter(~odd), f"{root}/one.csv")
+    writers.write_csv(trips.filter(odd).select(*[F.col(c).alias(f" {c.upper()}") for c in _TURNED]), f"{root}/two.csv")
     return root
 
 
@@ -798,7 +799,7 @@ def src_trips_by_name(spark, sf):
 )
 def schema_check(spark, sf):
     """The schema of the trip feed, and where the header of each file has its columns."""
-    return headers.header_rows(spark, TRIP_SCHEMA, _turned_csv(spark, sf))
+    return headers.header_rows(spark, TRIP_SCHEMA, _turned_csv(spark, sf), parts=True)
 
 
 @register(

@@ -89,11 +89,18 @@ def read_by_name(spark: SparkSession, schema: StructType, path: str, keep_raw_li
     return out
 
 
-def header_rows(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+def written_as(file: str) -> str:
+    """The file that a part belongs to: a job writes ``trips.csv`` as a folder of that name with files ``part-*``."""
+    folder, _, name = file.rpartition("/")
+    return folder if name.startswith("part-") else file
+
+
+def header_rows(spark: SparkSession, schema: StructType, path: str, parts: bool = False) -> DataFrame:
     """What the check finds: ``position, name, type, place, files`` — each column of the schema, with its place in the
-    header and the number of files that have it there."""
+    header and the number of files that have it there. With ``parts``, files that one job wrote into a folder (the
+    header of each is read) are one file; if their headers differ, it counts once for each."""
     rows = [
-        (i, f.name, f.dataType.simpleString(), order.index(f.name), len(files))
+        (i, f.name, f.dataType.simpleString(), order.index(f.name), len({written_as(x) if parts else x for x in files}))
         for order, files in grouped_files(spark, schema, path).items()
         for i, f in enumerate(schema.fields)
     ]

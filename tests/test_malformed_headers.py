@@ -8,7 +8,7 @@ from cabflow.plans import job
 from cabflow.schemas import FARE_SCHEMA, TRIP_SCHEMA
 from cabflow.sinks import writers
 from cabflow.sources import feeds, headers, malformed
-from tests.helpers import fare, fares_df, trip, trips_df
+from tests.helpers import T0, fare, fares_df, trip, trips_df
 
 GOOD = "M1,H1,CMT,1,N,2013-01-07 10:00:00,2013-01-07 10:10:00,1,600,2.0,-73.98,40.75,-73.97,40.76"
 NAMES = TRIP_SCHEMA.names
@@ -90,6 +90,21 @@ def test_columns_bind_by_name(spark, tmp_out):
     assert ("medallion", 0, 1) in found and ("medallion", 13, 2) in found and len(found) == 28
 
 
+def test_turned_feed_is_written_by_many_tasks(spark, tmp_path):
+    """No task of the queries on turned columns takes half of the feed; its parts count as the two files that they are."""
+    from cabflow.plans import registry
+
+    spark.createDataFrame([(k, n, 5, 7, "A", "F", 10.0, 0.05, T0) for k in range(50) for n in (1, 2)],
+                          "l_orderkey long, l_linenumber long, l_suppkey long, l_partkey long, l_returnflag string, l_linestatus string, "
+                          "l_quantity double, l_discount double, l_shipdate timestamp_ntz").repartition(4).write.option(
+                              "maxRecordsPerFile", 5).parquet(f"{tmp_path}/lineitem.parquet")
+    files = headers.data_files(spark, registry._turned_csv(spark, str(tmp_path)))
+    assert len(files) > 4
+    want = sorted(map(repr, registry.src_trips(spark, str(tmp_path)).collect()))
+    assert sorted(map(repr, registry.src_trips_by_name(spark, str(tmp_path)).collect())) == want
+    assert {(r.place, r.files) for r in registry.schema_check(spark, str(tmp_path)).collect()} == {(i, 1) for i in range(14)}
+
+
 @pytest.mark.parametrize("header,message", [
     (",".join([*NAMES[:-1], "other"]), "unknown columns .'other'., missing .'dropoff_latitude'."),
     (",".join(NAMES[:-1]), "missing"),
