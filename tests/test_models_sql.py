@@ -160,3 +160,26 @@ def test_oracle_fits_the_same_models(spark):
         key = list(got.columns[:3])
         got, want = (d.sort_values(key).reset_index(drop=True) for d in (got, want[got.columns]))
         pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=1e-9, atol=2e-6 if "certificate" not in name else 2e-4)
+
+
+def test_training_table_is_dealt_by_rows(spark, tmp_out, monkeypatch):
+    """A compact table is few splits for the reader; the fits get partitions of bounded rows, every row once."""
+    df = spark.range(0, 40_000, 1, 1).select(
+        *[F.col("id").cast("double").alias(c) for c in ml.FEATURES], F.lit(1.0).alias(ml.REG_LABEL), F.lit(0.0).alias(ml.CLS_LABEL),
+        F.col("id").cast("string").alias("medallion"), F.lit("H").alias("hack_license"), F.lit("V").alias("vendor_id"),
+        F.current_timestamp().alias("pickup_datetime"))
+    assert ml.stage_training_table(df, f"{tmp_out}/few").rdd.getNumPartitions() == 1  # as read
+    monkeypatch.setattr(ml, "ROWS_PER_PARTITION", 5_000)
+    data = ml.stage_training_table(df, f"{tmp_out}/many")
+    sizes = [r[1] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 6_000
+    assert data.agg(F.count_distinct(ml.FEATURES[0]), F.count("*")).first() == (40_000, 40_000)
+
+
+def test_cached_nodes_change_no_forest(spark, data):
+    train = ml.split(data)[0]
+    for task in (ml.regressors, ml.classifiers):
+        est = next(e for n, e in task(SMALL).items() if n.startswith("RandomForest"))
+        assert est.getCacheNodeIds()
+        cached, plain = (ml.fit(est.copy({est.cacheNodeIds: on}), train).stages[-1].toDebugString for on in (True, False))
+        assert cached.split("\n")[1:] == plain.split("\n")[1:]
