@@ -153,3 +153,16 @@ def test_job_runs_incrementally(spark, trips, tmp_out):
     assert by_hour.agg(F.sum("trips")).first()[0] == n
     assert spark.read.json(outs["overview"]).first().row_count == n
     assert len(partials.current_state(spark, paths.partials)) == 2
+
+
+def test_refresh_holds_the_sketches_of_a_tasks_days(spark, trips, tmp_out, monkeypatch):
+    """While partials are written, a task may hold more groups than Spark's default of 128; the setting is restored."""
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before, seen = spark.conf.get(key), []
+    for name in ("numeric_partials", "kpi_partials"):
+        real = getattr(partials, name)
+        monkeypatch.setattr(partials, name, lambda base, real=real: seen.append(int(spark.conf.get(key))) or real(base))
+    lay_out(trips, tmp_out)
+    assert len(partials.refresh(spark, tmp_out, f"{tmp_out}/p")) == 5
+    assert seen == [partials.GROUPS_IN_MEMORY] * 2 and partials.GROUPS_IN_MEMORY > 30 * len(profile.PROFILE_COLUMNS)
+    assert spark.conf.get(key) == before
