@@ -3,12 +3,15 @@ raw feeds -> validated -> split -> matched -> analytics / question base."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cabflow.operators import matching, quality
 from cabflow.operators.enrich import add_ymd, analytics_base, question_base
+from cabflow.session import SPLIT, configured, input_bytes, split_for_columnar, widen
 from cabflow.sources import fixtures
 from cabflow.sources.dims import normalize_weather
 
@@ -31,7 +34,24 @@ def clean(trips_raw: DataFrame, fares_raw: DataFrame) -> Cleaned:
     return Cleaned(tt, tf, gt, bt, gf, bf)
 
 
+def fit_to_input(spark: SparkSession, sf_dir: str) -> int:
+    """Shuffle width for the trip and fare feeds under ``sf_dir`` (``session.widen``); returns their input's bytes."""
+    nbytes = input_bytes(spark, [f"{sf_dir.rstrip('/')}/lineitem.parquet"])
+    widen(spark, nbytes)
+    return nbytes
+
+
+@contextmanager
+def fine_splits(spark: SparkSession, sf_dir: str) -> Iterator[None]:
+    """For queries that run their jobs when called: splits whose rows a task can sort in memory."""
+    nbytes = fit_to_input(spark, sf_dir)
+    current = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    with configured(spark, {SPLIT: str(split_for_columnar(nbytes, current))}):
+        yield
+
+
 def fixture_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    fit_to_input(spark, sf_dir)
     return fixtures.trips_raw(spark, sf_dir), fixtures.fares_raw(spark, sf_dir)
 
 
