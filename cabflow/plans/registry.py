@@ -471,7 +471,8 @@ _KPI_ALL_COLS = ["pickup_hour", "pickup_dow", "year", "month", "payment_type", "
 
 def _kpi_query(segment: str):
     def run(spark, sf):
-        return stable(kpis.segmented_kpis(flow.fixture_analytics_base(spark, sf), exact=True, only=[segment])[segment])
+        with flow.fine_splits(spark, sf):
+            return stable(kpis.segmented_kpis(flow.fixture_analytics_base(spark, sf), exact=True, only=[segment])[segment])
 
     return run
 
