@@ -955,7 +955,9 @@ def _model_query(task: str, model: str):
     def run(spark, sf):
         path = scratch_dir(spark, "ml-features")
         try:
-            return stable(ml.train_evaluate(ml.stage_training_table(_ml_data(spark, sf), path), task, models=[model]))
+            with flow.fine_splits(spark, sf):
+                data = ml.stage_training_table(_ml_data(spark, sf), path)
+            return stable(ml.train_evaluate(data, task, models=[model]))
         finally:
             remove_path(spark, path)
 
@@ -1051,7 +1053,8 @@ def _fitted(spark, sf, task: str, model: str, use):
 
     root = fresh(spark, "ml-model")
     try:
-        data = ml.stage_training_table(_ml_data(spark, sf), f"{root}/features")
+        with flow.fine_splits(spark, sf):
+            data = ml.stage_training_table(_ml_data(spark, sf), f"{root}/features")
         p = ml.ModelParams()
         estimator = (ml.regressors(p) if task == "regression" else ml.classifiers(p))[model]
         path = f"{root}/model"
