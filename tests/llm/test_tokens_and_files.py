@@ -222,3 +222,18 @@ def test_warc_reader_counts_records(spark, tmp_out):
     open(file, "wb").write(raw[:last])  # cut exactly between two frames
     with pytest.raises(Exception, match="the archive has 11 records, and the manifest 12"):
         warc.read_archives(spark, manifest).collect()
+
+
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_plain_words_before_punctuation_skip_the_slow_path(name, monkeypatch):
+    """Punctuation and line ends are chunks of their own, so each word is known after its first time."""
+    encoder, whole, slow = tokens.Encoder(path(name)), library(name), []
+    through = encoder._through_library
+    monkeypatch.setattr(encoder, "_through_library", lambda texts: (slow.extend(texts), through(texts))[1])
+    words = [f"{a}{b}{c}é" for a in "abcd" for b in "efgh" for c in "ijkl"]
+    text = "".join(f"\n{w}### {w}, {w}$$$ {w}!!" for w in words) + "<|endoftext|>x'll.\n"
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = encoder.encode(data, np.array([0, len(data)]))
+    assert ids.tolist() == whole(text)
+    assert len(slow) < 20  # before: one for each word and punctuation
+    assert len(encoder.names) == len(encoder.slots) and (np.diff(encoder.names.astype(object)) > 0).all()
