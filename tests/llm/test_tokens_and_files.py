@@ -237,3 +237,19 @@ def test_plain_words_before_punctuation_skip_the_slow_path(name, monkeypatch):
     assert ids.tolist() == whole(text)
     assert len(slow) < 20  # before: one for each word and punctuation
     assert len(encoder.names) == len(encoder.slots) and (np.diff(encoder.names.astype(object)) > 0).all()
+
+
+def test_encoder_table_is_small_and_keeps_what_is_used(monkeypatch):
+    monkeypatch.setattr(tokens, "TABLE_ENTRIES", 4096)
+    encoder, whole, asked = tokens.Encoder(path(BYTE)), library(BYTE), []
+    ids_of = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda chunks: (asked.extend(chunks), ids_of(chunks))[1])
+    for i in range(12):
+        text = " often" * 50 + "".join(f" w{i}x{j}" for j in range(1000))
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = encoder.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == whole(text)
+        assert len(encoder.names) <= 4096
+    arrays = (encoder.names, encoder.slots, encoder.at, encoder.size, encoder.used)
+    assert sum(x.nbytes for x in arrays) <= 100 * max(4096, 1 << 14)  # before: a dict of Python numbers beside arrays
+    assert asked.count(" often") == 1
