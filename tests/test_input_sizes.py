@@ -65,3 +65,10 @@ def test_jobs_run_when_called_read_finer_splits_which_end_with_them(spark, sf, m
     rows = registry.QUERIES["kpi_by_vendor"](spark, sf).collect()
     assert seen == ["4096"] and sum(r.trips for r in rows) == flow.fixture_matched(spark, sf).count() > 0
     assert spark.conf.get(session.SPLIT) == before
+
+
+def test_a_split_sorts_in_half_a_gigabyte(spark):
+    """The map side of the dedup holds and sorts some 35 bytes for each byte of its split (measured on 24 x sf0.1)."""
+    default = int(spark.conf.get(session.SPLIT).removesuffix("b"))
+    for nbytes in (10**8, 10**9, 6 * 10**9, 10**11):
+        assert 36 * session.split_for_columnar(nbytes, default) <= 512 << 20
