@@ -70,21 +70,25 @@ def _blocks(batches) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndar
     cut = (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
     for c in k.chunks(cut):
         w = k.words(k.LOWER[c.data], c.bounds, k.ALNUM)
-        held.append((c.rows.drop_columns(["text"]), w.doc() + docs, w.hash))
+        # fewer than 2**16 documents are in a block
+        held.append((c.rows.drop_columns(["text"]), (w.doc() + docs).astype(np.uint16), w.hash))
         docs += c.rows.num_rows
         words += len(w.hash)
         if words >= BLOCK_WORDS or docs >= BLOCK_DOCS:
             yield _block(held)
-            held, docs, words = [], 0, 0
+            docs = words = 0
     if held:
         yield _block(held)
 
 
 def _block(held: list) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """The block of what is ``held``, which is emptied."""
     rows, doc, word = zip(*held, strict=True)
+    held.clear()
     doc, word = np.concatenate(doc), np.concatenate(word)
-    order = np.lexsort((doc, word))
+    order = np.argsort(word, kind="stable")  # documents are in order
     doc, word = doc[order], word[order]
+    del order
     new = _firsts(word, doc)
     return pa.Table.from_batches(rows), doc[new], word[new], np.diff(np.append(new, len(word)))
 
@@ -169,6 +173,7 @@ def _word_rows(batches):
         entries["times"] = 255
         entries["times"][np.cumsum(rows_of) - 1] = times - 255 * (rows_of - 1)
         word = np.repeat(word, rows_of)
+        del doc, times, rows_of
         first = _firsts(word)
         offsets = (np.append(first, len(word)) * ENTRY.itemsize).astype(np.int32)
         docs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(entries.tobytes())])
@@ -203,9 +208,10 @@ def raw_scores(docs: DataFrame, weights: DataFrame, unseen: dict[str, float]) ->
         n = head["lengths"].combine_chunks().flatten().to_numpy()
         # in the order of the words, so that sums are alike in each run
         hits = block.filter(block["keys"].is_null()).sort_by("word")
-        found = hits["docs"].to_pylist()
-        entries = np.frombuffer(b"".join(found), ENTRY)
-        of = np.repeat(np.arange(len(found)), [len(x) // ENTRY.itemsize for x in found]) if found else np.zeros(0, np.int64)
+        found = hits["docs"].cast(pa.large_binary()).combine_chunks()
+        offsets = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+        entries = np.frombuffer(found.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].view(ENTRY)
+        of = np.repeat(np.arange(len(found)), np.diff(offsets) // ENTRY.itemsize)
         out = {"key": keys}
         for m in names:
             weight = hits[m].to_numpy().astype(float) - unseen[m]

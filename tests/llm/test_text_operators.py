@@ -205,3 +205,25 @@ def test_op7_held_out_accuracy(spark):
     toxic = [r.predicted for r in rows if labels[r.doc_id]]
     clean = [r.predicted for r in rows if not labels[r.doc_id]]
     assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.005 * len(clean)
+
+
+def test_toxicity_block_holds_few_bytes_a_word():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(1)
+    held = []
+    for i in range(16):
+        doc = (np.sort(rnd.integers(0, 100, 1 << 16)) + 100 * i).astype(np.uint16)
+        rows = pa.record_batch({"key": pa.array(range(100 * i, 100 * i + 100))})
+        held.append((rows, doc, rnd.integers(0, 1 << 14, 1 << 16).astype(np.uint64)))
+    plain = sorted((w, d) for _, docs, words in held for d, w in zip(docs.tolist(), words.tolist(), strict=True))
+    tracemalloc.start()
+    rows, doc, word, times = toxicity._block(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.num_rows == 1600 and not held
+    assert [(w, d) for w, d, n in zip(word.tolist(), doc.tolist(), times.tolist(), strict=True) for _ in range(n)] == plain
+    assert peak < 50 << 20  # 43 bytes a word, of 1 << 20 words; before: 63
