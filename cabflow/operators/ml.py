@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions import features as fx
-from cabflow.operators import tree_sql
+from cabflow.operators import tree_fit, tree_sql
 from cabflow.schemas import KEY
-from cabflow.session import remove_path, scratch_dir
+from cabflow.session import remove_path, scratch_dir, staging
 
 # The feature columns and the two labels.
 FEATURES = ["haversine_distance", "pickup_hour", "is_weekend", "passenger_count"]
@@ -35,9 +35,9 @@ CLS_LABEL = "is_high_traffic"
 HIGH_TRAFFIC_MPH = 12.0
 TRAIN_BUCKETS = 8  # of 10 hash buckets -> 80 % train
 BUCKET = "split_bucket"
-# Rows of one partition of the training table: a tree fit holds up to 700 bytes for each (a count and a node
-# for each of 50 trees), which a task reads once a level.
-ROWS_PER_PARTITION = 500_000
+# Rows of one partition of the training table. The tree fits hold no rows; the linear and the logistic fit hold some
+# 50 bytes for each.
+ROWS_PER_PARTITION = 4_000_000
 
 
 # The bounds of a plausible trip.
@@ -110,8 +110,8 @@ class ModelParams:
 
 
 def regressors(p: ModelParams) -> dict:
-    """The forests keep each row's node in each tree (``cacheNodeIds``), which changes no result: else every
-    level follows every row through all trees from their roots."""
+    """The forests keep each row's node in each tree (``cacheNodeIds``), which changes no result and only matters where
+    a fit goes through the rows (``tree_fit`` folds them)."""
     return {
         "LinearRegression": LinearRegression(
             featuresCol="features", labelCol=REG_LABEL, maxIter=p.lr_max_iter, regParam=p.lr_reg,
@@ -137,7 +137,10 @@ def classifiers(p: ModelParams) -> dict:
 
 
 def fit(estimator, train: DataFrame, features: list[str] = FEATURES) -> PipelineModel:
+    """Tree ensembles are fitted on rows folded by their bins (``tree_fit``), the others on the rows themselves."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    if tree_fit.folds(estimator):
+        return PipelineModel([assembler, tree_fit.fit(estimator, train, features)])
     return Pipeline(stages=[assembler, estimator]).fit(train)
 
 
@@ -202,7 +205,8 @@ def training_columns(df: DataFrame, params: ModelParams | None = None) -> DataFr
 def stage_training_table(df: DataFrame, path: str) -> DataFrame:
     """Write the training columns once and read them back: the iterative fits scan a narrow
     Parquet table and do not recompute the match."""
-    training_columns(df).write.mode("overwrite").parquet(path)
+    with staging(df.sparkSession):
+        training_columns(df).write.mode("overwrite").parquet(path)
     return in_partitions(df.sparkSession.read.parquet(path))
 
 

@@ -205,6 +205,11 @@ def _place(name: str, cuts: np.ndarray, lo: int, hi: int) -> str:
     return f"CASE WHEN {name} <= {_number(cuts[mid])} THEN {_place(name, cuts, lo, mid)} ELSE {_place(name, cuts, mid + 1, hi)} END"
 
 
+def bin_sql(name: str, cuts: Sequence[float]) -> str:
+    """The number of a value's bin as a double, from 1: one more than the cuts below it. NULL for NULL and NaN."""
+    return f"CASE WHEN {name} IS NULL OR isnan({name}) THEN NULL ELSE CAST(1 + {_place(name, cuts, 0, len(cuts))} AS DOUBLE) END"
+
+
 def compile_ensemble(ensemble: Ensemble, max_cells: int = MAX_CELLS) -> Compiled:
     """The ensemble on its grid. Raises ``ValueError`` beyond ``max_cells`` (use ``case_sql`` then)."""
     cuts = ensemble.cuts()
