@@ -81,12 +81,20 @@ def segmented_kpis(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bo
         remove_path(spark, path)
 
 
-def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bool = False) -> DataFrame:
+def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact: bool = False, staged: bool = False) -> DataFrame:
     """All segmentations in one aggregate. Columns: ``segment`` (name), ``grouping_id``,
     every grouping column (NULL where not grouped) and the measures. ``grouping_id`` keeps
     a real NULL segment value apart from a rolled-up column. With ``exact`` the
     percentiles of all segments come from ONE rank pass over the ``(segment, value)``
-    rows."""
+    rows. Their rounds run when called, so ``df`` is computed once: the columns read are staged (not if it is a scan of
+    ``staged`` files already), the ``(segment, value)`` rows are made from them by each round, and the result is kept."""
+    if exact and not staged:
+        path = scratch_dir(df.sparkSession, "kpi-rows")
+        try:
+            rows = kept(df.select(*columns_read(df)), path)
+            return kept(kpi_grouping_sets(rows, accuracy, True, True), scratch_dir(df.sparkSession, "kpis"))
+        finally:
+            remove_path(df.sparkSession, path)
     segs = {n: cols for n, cols in SEGMENTS.items() if all(c in df.columns for c in cols)}
     group_cols: list[str] = []
     for cols in segs.values():
@@ -117,11 +125,16 @@ def kpi_grouping_sets(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY, exact:
     if not exact:
         return agg
     rows, keys = segment_rows(df)
-    q = grouped_exact_quantiles(rows, keys, "total_amount", [p for _, p in PERCENTILES], [n for n, _ in PERCENTILES])
+    q = grouped_exact_quantiles(rows, keys, "total_amount", [p for _, p in PERCENTILES], [n for n, _ in PERCENTILES], True)
     out = attach(agg.drop(*[n for n, _ in PERCENTILES]), q, keys, [n for n, _ in PERCENTILES])
     return out.select("segment", "grouping_id", *group_cols, *MEASURE_ORDER)
 
 
+def columns_read(df: DataFrame) -> list[str]:
+    """The columns of ``df`` that the segmentations and their measures read."""
+    return [c for c in _all_group_cols() if c in df.columns] + MEASURED
+
+
 def segment_rows(df: DataFrame, value: str = "total_amount") -> tuple[DataFrame, list[str]]:
     """One row per (segment, input row): ``segment``, its grouping values (others NULL) and the
     value; and the names of the key columns."""

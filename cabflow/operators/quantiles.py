@@ -12,8 +12,8 @@ chooses where to cut: a bad cut costs another round, never the result. When no i
 rows, those left are counted by value and a running count finds the ranks; so no window ever sees more rows
 than ``BOUND`` of a group. 1e12 rows of a continuous column take three rounds.
 
-The values are written once (keys and value alone), so that no round repeats the work before; the copy is
-removed. A hot group is spread like any other: rounds are aggregates with a partial step in each task.
+The values are written once (keys and value alone), so that no round repeats the work before, unless they are read
+from files as they are; the copy is removed. A hot group is spread like any other: rounds are aggregates with a partial step in each task.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabflow.session import remove_path, scratch_dir
+from cabflow.session import remove_path, scratch_dir, staging
 
 # Rows of a group that one window may rank; beyond it another round narrows the interval.
 BOUND = 100_000
@@ -134,7 +134,8 @@ def _rank_rest(vals: DataFrame, state: DataFrame, keys: Sequence[str], names: Se
 
 def kept(df: DataFrame, path: str) -> DataFrame:
     """``df`` as written to ``path`` and read back."""
-    df.write.parquet(path)
+    with staging(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -144,17 +145,19 @@ def grouped_exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str],
+    staged: bool = False,
 ) -> DataFrame:
     """``group_cols`` + one double column per name, for every group with a non-NULL value
     (attach to the group's other aggregates with ``attach``). Runs its rounds when called; the result, a row per
-    group, is a small table in the shared folder."""
+    group, is a small table in the shared folder. ``staged``: ``df`` is little more than a scan of files, which the
+    rounds read again; a copy of rows stacked many times over would be far larger than those files."""
     spark = df.sparkSession
     keys = [f"_k{i}_" for i in range(len(group_cols))]
     vals = df.select(*[F.col(c).alias(k) for c, k in zip(group_cols, keys, strict=True)],
                      F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     root = scratch_dir(spark, "quantile-rounds")
     try:
-        vals = kept(vals, f"{root}/values")
+        vals = vals if staged else kept(vals, f"{root}/values")
         state = kept(_first_state(vals, keys, probs), f"{root}/round-0")
         some = reduce(lambda x, y: x | y, [_too_many(i) for i in range(len(probs))])
         done = 0
