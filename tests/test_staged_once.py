@@ -26,7 +26,7 @@ def scratch(spark):
     return {d for d in os.listdir(root) if not d.startswith((".", "kpis-", "summary-", "quantiles-"))} if os.path.isdir(root) else set()
 
 
-@pytest.mark.parametrize("name", ["kpi_grouping_sets"])
+@pytest.mark.parametrize("name", ["kpi_grouping_sets", "kpi_summary_long"])
 def test_the_match_runs_once(spark, sf, monkeypatch, name):
     want = sorted(map(repr, registry.QUERIES[name](spark, sf).collect()))
     seen, splits, copies = spark.sparkContext.accumulator(0), [], []
