@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabflow import session
-from cabflow.operators import quantiles
+from cabflow.operators import ml, quantiles
 from cabflow.plans import flow, registry
 from tests.test_input_sizes import LINEITEM
 
@@ -54,6 +54,15 @@ def test_the_match_runs_once(spark, sf, monkeypatch, name):
     assert not [p for p in copies if p.endswith("/values")] and scratch(spark) == before
 
 
+@pytest.mark.parametrize("name", ["ml_metrics_all", "ml_metrics_ranges"])
+def test_ml_reads_fine_splits(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(session, "COLUMNAR_SPLIT_BYTES", 4096)
+    seen = []
+    monkeypatch.setattr(ml, "run_ml", lambda df: seen.append(spark.conf.get(session.SPLIT)) or spark.createDataFrame(
+        [("regression", "m", "RMSE", 1.0), ("regression", "m", "MAE", 1.0)], "task string, model string, metric string, value double"))
+    assert registry.QUERIES[name](spark, sf).count() == 2 and seen == ["4096"]
+
+
 def test_shuffle_files_of_a_staged_table_go_with_its_write(spark, tmp_out):
     before = spark.conf.get(session.CLEANUP)
     seen = []
